@@ -96,14 +96,15 @@ def reduce_claims(claims: DataFrame, period: str) -> DataFrame:
 
 def _with_providers(claims: DataFrame, lookup: DataFrame, level: str, period: str) -> DataFrame:
     names = [
-        F.col("tin"),
+        F.col("tin").alias("_lookup_tin"),
         F.col("healthcareorganizationname").alias("ProviderSystem"),
         F.col("providersyskey").alias("ProviderKey"),
     ]
     if level == "tin":
         names.append(F.col("formattedtin").alias("TIN"))
     reduced = align_key(reduce_claims(claims, period), "providertin", lookup, "tin")
-    return reduced.join(lookup.select(*names), F.col("providertin") == F.col("tin")).drop("tin", "providertin")
+    joined = reduced.join(lookup.select(*names), F.col("providertin") == F.col("_lookup_tin"))
+    return joined.drop("_lookup_tin", "providertin")
 
 
 def _sums() -> list[Column]:

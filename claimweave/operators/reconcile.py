@@ -1,7 +1,10 @@
 """Reconciling an incoming provider file with the existing lookup table.
 
 Each branch is a property, evaluated when asked for, so a caller that needs one
-branch does not plan the others.
+branch does not plan the others. Branches build on each other and most are read
+several times (rows, list of repeated tax IDs, null rule of NOT IN). The five
+row sets that others build on are therefore checkpointed once; without that the
+plan of the last output would hold dozens of copies of the first joins.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions.cleansing import norm_name
 from claimweave.functions.tins import format_tin
-from claimweave.operators.keys import is_in, latest_per_key, not_in, split_duplicates, surrogate_keys
+from claimweave.operators.keys import duplicate_keys, is_in, latest_per_key, not_in, split_duplicates, surrogate_keys
 from claimweave.operators.providers import LOOKUP_COLUMNS, timestamp_text
 from claimweave.storage import cut_lineage
 
@@ -31,9 +34,7 @@ class Reconciliation:
 
     ``existing`` has the columns of the lookup table, ``incoming`` the same
     without key, formatted tax ID and refresh date. ``now`` becomes the refresh
-    date of accepted rows. With ``store_branches`` the three row sets that
-    several outputs share are checkpointed, so that writing all outputs does
-    not compute them again.
+    date of accepted rows. Outputs taken from one object share its checkpoints.
     """
 
     def __init__(
@@ -42,13 +43,11 @@ class Reconciliation:
         incoming: DataFrame,
         now: dt.datetime | str,
         tin_mode: str = "reference",
-        store_branches: bool = False,
     ):
         self.existing = existing.select(*LOOKUP_COLUMNS)
         self.incoming = incoming
         self._now = timestamp_text(now)
         self._tin_mode = tin_mode
-        self._store = cut_lineage if store_branches else (lambda df: df)
 
     def _dated(self, rows: DataFrame) -> DataFrame:
         return rows.withColumns(
@@ -84,11 +83,11 @@ class Reconciliation:
             .withColumn("health_system_id", F.col("_system"))
         )
         columns = [F.col(c) for c in _UNDATED]
-        return self._store(own.select(*columns).unionByName(inherited.select(*columns)).distinct())
+        return own.select(*columns).unionByName(inherited.select(*columns)).distinct()
 
     @cached_property
     def _existing_provider_split(self) -> tuple[DataFrame, DataFrame]:
-        return split_duplicates(self.existing_provider, "tin")
+        return split_duplicates(cut_lineage(self.existing_provider), "tin")
 
     @cached_property
     def ep_duplicates(self) -> DataFrame:
@@ -100,8 +99,13 @@ class Reconciliation:
         """Rows of known providers whose tax ID occurs once, dated."""
         return self._dated(self._existing_provider_split[1])
 
+    @cached_property
+    def _stored_ep_unique(self) -> DataFrame:
+        return cut_lineage(self.ep_unique)
+
+    @cached_property
     def _conflict_pairs(self) -> DataFrame:
-        new, old = self.ep_unique.alias("new"), self.existing.alias("old")
+        new, old = self._stored_ep_unique.alias("new"), self.existing.alias("old")
         # Names are compared as written: another spelling counts as another provider.
         return new.join(
             old, (F.col("new.tin") == F.col("old.tin")) & (F.col(f"new.{_NAME}") != F.col(f"old.{_NAME}"))
@@ -110,14 +114,14 @@ class Reconciliation:
     @cached_property
     def tin_conflict(self) -> DataFrame:
         """Tax IDs listed under another name: the incoming rows, then the existing ones."""
-        pairs = self._conflict_pairs()
+        pairs = self._conflict_pairs
         return pairs.select("new.*").unionByName(pairs.select("old.*"))
 
     @cached_property
     def ep_accepted(self) -> DataFrame:
         """Rows of known providers without a conflict."""
-        clashing = self._conflict_pairs().select(F.col("new.tin").alias("tin"))
-        return not_in(self.ep_unique, "tin", clashing, "tin")
+        clashing = self._conflict_pairs.select(F.col("new.tin").alias("tin"))
+        return not_in(self._stored_ep_unique, "tin", clashing, "tin")
 
     # Tax IDs that are already known ----------------------------------------
 
@@ -131,7 +135,7 @@ class Reconciliation:
             .alias("new")
         )
         updated = ("mpin", "tinname", "health_system_id", "pcorname", "claimsthrudate")
-        return self._store(
+        return (
             old.join(new, F.col("old.tin") == F.col("new.tin"))
             .select(
                 *[
@@ -150,7 +154,8 @@ class Reconciliation:
         These are rejected and merged as well; tax IDs with one record are
         neither. That is how the load is defined.
         """
-        repeated, _ = split_duplicates(self.existing_tin, "tin")
+        rows = cut_lineage(self.existing_tin)
+        repeated = is_in(rows, "tin", duplicate_keys(rows, "tin"), "tin")
         return repeated.withColumn("refresh_date", F.lit(self._now))
 
     # New providers ----------------------------------------------------------
@@ -172,15 +177,17 @@ class Reconciliation:
         """Incoming rows of new providers with their keys; each spelling of a name has its own."""
         keys = self.new_keys.select(norm_name(_NAME).alias("_new"), "providersyskey")
         rows = self.incoming.join(keys, norm_name(_NAME) == F.col("_new"))
-        return self._store(
-            rows.withColumn("formattedtin", format_tin("tin", self._tin_mode)).select(
-                *[c for c in LOOKUP_COLUMNS if c != "refresh_date"]
-            )
+        return rows.withColumn("formattedtin", format_tin("tin", self._tin_mode)).select(
+            *[c for c in LOOKUP_COLUMNS if c != "refresh_date"]
         )
 
     @cached_property
     def _new_provider_split(self) -> tuple[DataFrame, DataFrame]:
-        return split_duplicates(self.new_provider, "tin")
+        return split_duplicates(cut_lineage(self.new_provider), "tin")
+
+    @cached_property
+    def _np_unique(self) -> DataFrame:
+        return cut_lineage(self._new_provider_split[1])
 
     @cached_property
     def np_duplicates(self) -> DataFrame:
@@ -189,7 +196,7 @@ class Reconciliation:
 
     @cached_property
     def _np_clash(self) -> DataFrame:
-        clash = is_in(self._new_provider_split[1], "tin", self.existing, "tin")
+        clash = is_in(self._np_unique, "tin", self.existing, "tin")
         return clash.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
 
     @cached_property
@@ -200,7 +207,7 @@ class Reconciliation:
     @cached_property
     def np_accepted(self) -> DataFrame:
         """Rows of new providers with unknown tax IDs, dated."""
-        accepted = not_in(self._new_provider_split[1], "tin", self._np_clash, "tin")
+        accepted = not_in(self._np_unique, "tin", self._np_clash, "tin")
         return accepted.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
 
     # Outputs ------------------------------------------------------------------

@@ -1,8 +1,7 @@
 """The batch jobs from input to published output.
 
 Every input is a DataFrame (see ``claimweave.sources``), every reporting date an
-argument. A failure fails the job. Writers return nothing; where a job writes
-several outputs, shared work is checkpointed once.
+argument. A failure fails the job.
 """
 
 from __future__ import annotations
@@ -127,7 +126,7 @@ def provider_incremental_job(
         raise ValueError("the refreshed key list needs a path of its own")
     existing = read_snapshot(spark, lookup_root)
     incoming = read_csv(spark, delta_path, schemas.PROVIDER_DELTA)
-    load = Reconciliation(existing, incoming, now, store_branches=True)
+    load = Reconciliation(existing, incoming, now)
     overwrite_csv(load.rejected, reject_path)
     overwrite_csv(refresh_key_list(read_csv(spark, key_path), load.new_provider, now), new_key_path)
     publish_snapshot(load.merged, lookup_root, now)

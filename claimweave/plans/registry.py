@@ -65,10 +65,6 @@ def _plain(df: DataFrame) -> DataFrame:
     )
 
 
-def _rounded(df: DataFrame, places: dict[str, int]) -> DataFrame:
-    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
-
-
 # Claims
 
 
@@ -108,28 +104,32 @@ def _calls(operator, spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(operator(build(spark, sf_dir, "calls"), build(spark, sf_dir, "lookup"), CALLS_AS_OF))
 
 
-_AVERAGES = {
-    "avgpclmprctm": 4,
-    "avgeclmprctm": 4,
-    "avgprecprctm": 4,
-    "avgerecprctm": 4,
-    "clmprctmdiff": 4,
-    "reconprctmdiff": 4,
-}
+_SUMMED_RATIOS = [
+    "avgpclmprctm",
+    "avgeclmprctm",
+    "avgprecprctm",
+    "avgerecprctm",
+    "clmprctmdiff",
+    "reconprctmdiff",
+    "pnpadptrt",
+    "lnkadptrt",
+    "overalladprt",
+]
 
 
 def selfservice_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = self_service_monthly(
         build(spark, sf_dir, "selfservice"), build(spark, sf_dir, "lookup"), SELF_SERVICE_AS_OF
     )
-    return _rounded(_plain(monthly), {**_AVERAGES, "pnpadptrt": 6, "lnkadptrt": 6})
+    return _plain(monthly)
 
 
 def selfservice_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     final = self_service_metrics(
         build(spark, sf_dir, "selfservice"), build(spark, sf_dir, "lookup"), SELF_SERVICE_AS_OF
     )
-    return _rounded(_plain(final), {**_AVERAGES, "pnpadptrt": 4, "lnkadptrt": 6, "overalladprt": 6})
+    # Sums of monthly averages depend on the order of addition in the last digits.
+    return _plain(final).withColumns({c: F.round(c, 9) for c in _SUMMED_RATIOS})
 
 
 def pcor(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,60 +156,22 @@ def claims_denials(claims: DataFrame, lookup: DataFrame, level: str, period: str
     )
 
 
-def _blocks(claims: DataFrame, lookup: DataFrame, level: str, period: str) -> DataFrame:
-    """One row per key and document block: the summary list and the denial list."""
-    keys = _keys(level)
-    rows = _with_providers(claims, lookup, level, period)
-    per_category = with_totals(rows, [*keys, "Denied", "Category"], "Segment", _sums()).filter(
-        (F.col("is_total") == 1) | F.col("Segment").isin(*BLOCKS)
+def _document_parts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The sums a document is made of: per block one summary, and one row per denial category.
+
+    All four grains (with and without segment, with and without category) come
+    from one pass over the reduced rows.
+    """
+    detail = ["Denied", "Category"]
+    grains = [[*keys, "Segment", *detail], [*keys, "Segment"], [*keys, *detail], keys]
+    parts = rows.groupingSets(grains, *keys, "Segment", *detail).agg(
+        F.grouping("Segment").alias("is_total"), F.grouping("Denied").alias("is_summary"), *_sums()
     )
     block = F.when(F.col("is_total") == 1, F.lit(ALL))
     for segment, name in BLOCKS.items():
         block = block.when(F.col("Segment") == segment, F.lit(name))
-    denial = F.struct(
-        F.col("Category").alias("claimdenialcategorylevel1shortname"),
-        F.col("ClaimsDenied").alias("DenialCount"),
-        F.col("AmountDenied").alias("DenialAmount"),
-    )
-    # A list holds one entry per denial category, already summed.
-    summed = per_category.groupBy(*keys, block.alias("Block")).agg(
-        *_sums(), F.sort_array(F.collect_list(F.when(F.col("Denied"), denial))).alias("_denials")
-    )
-    return summed.select(
-        *keys,
-        "Block",
-        F.array(F.struct(*_measures())).alias("ClaimsLobSummary"),
-        F.when(F.size("_denials") > 0, F.col("_denials")).alias("DenialCategory"),
-    )
-
-
-def _split_unmatched(blocks: DataFrame, nullable_keys: list[str]) -> DataFrame:
-    """Keep block halves apart where a key is null.
-
-    The documents are defined by full outer joins of summary and denial blocks,
-    and null keys never match there: each half of each block stays a document of
-    its own. ``_apart`` is empty for complete keys.
-    """
-    unmatched = reduce(Column.__or__, [F.col(k).isNull() for k in nullable_keys])
-    summary, denials = F.col("ClaimsLobSummary"), F.col("DenialCategory")
-
-    def half(tag: Column, left: Column, right: Column) -> Column:
-        return F.struct(tag.alias("tag"), F.struct(left, right).alias("body"))
-
-    whole = half(F.lit(""), summary, denials)
-    no_summary = F.lit(None).cast(blocks.schema["ClaimsLobSummary"].dataType).alias("ClaimsLobSummary")
-    no_denials = F.lit(None).cast(blocks.schema["DenialCategory"].dataType).alias("DenialCategory")
-    only_summary = half(F.concat(F.col("Block"), F.lit(" summary")), summary, no_denials)
-    only_denials = half(F.concat(F.col("Block"), F.lit(" denials")), no_summary, denials)
-    parts = (
-        F.when(~unmatched, F.array(whole))
-        .when(denials.isNull(), F.array(only_summary))
-        .otherwise(F.array(only_summary, only_denials))
-    )
-    return blocks.withColumn("_part", F.explode(parts)).select(
-        *[c for c in blocks.columns if c not in ("ClaimsLobSummary", "DenialCategory")],
-        F.col("_part.tag").alias("_apart"),
-        F.col("_part.body").alias("body"),
+    return parts.withColumn("Block", block).filter(
+        F.col("Block").isNotNull() & ((F.col("is_summary") == 1) | F.col("Denied"))
     )
 
 
@@ -222,10 +184,33 @@ def claims_documents(claims: DataFrame, lookup: DataFrame, level: str = "tin", p
     key; by month it falls into one nameless period, which is not.
     """
     keys = _keys(level)
-    nullable = keys if period == "year" else keys[:-1]
-    rows = _split_unmatched(_blocks(claims, lookup, level, period), nullable)
+    parts = _document_parts(_with_providers(claims, lookup, level, period), keys)
+    # Documents are full outer joins of the summary and denial halves of the
+    # blocks, and null keys find no partner there: each half stays a document of
+    # its own. For complete keys the tag is empty and the halves come together.
+    unmatched = reduce(Column.__or__, [F.col(k).isNull() for k in (keys if period == "year" else keys[:-1])])
+    half = F.concat_ws(" ", "Block", F.col("is_summary").cast("string"))
+    is_summary = F.col("is_summary") == 1
+    denial = F.struct(
+        F.col("Category").alias("claimdenialcategorylevel1shortname"),
+        F.col("ClaimsDenied").alias("DenialCount"),
+        F.col("AmountDenied").alias("DenialAmount"),
+    )
     names = [*BLOCKS.values(), ALL]
-    documents = rows.groupBy(*keys, "_apart").agg(
-        *[F.first(F.when(F.col("Block") == name, F.col("body")), ignorenulls=True).alias(name) for name in names]
+    collected = []
+    for name in names:
+        here = F.col("Block") == name
+        collected.append(F.first(F.when(here & is_summary, F.struct(*_measures())), ignorenulls=True).alias(f"_s{name}"))
+        # One entry per denial category, already summed.
+        collected.append(F.collect_list(F.when(here & ~is_summary, denial)).alias(f"_d{name}"))
+    documents = parts.groupBy(*keys, F.when(unmatched, half).otherwise(F.lit("")).alias("_apart")).agg(*collected)
+    return documents.withColumn("ReportingPeriod", _period_text(period)).select(*keys, *[_block(n) for n in names])
+
+
+def _block(name: str) -> Column:
+    summary, denials = F.col(f"_s{name}"), F.col(f"_d{name}")
+    body = F.struct(
+        F.when(summary.isNotNull(), F.array(summary)).alias("ClaimsLobSummary"),
+        F.when(F.size(denials) > 0, F.sort_array(denials)).alias("DenialCategory"),
     )
-    return documents.withColumn("ReportingPeriod", _period_text(period)).select(*keys, *names)
+    return F.when(summary.isNotNull() | (F.size(denials) > 0), body).alias(name)

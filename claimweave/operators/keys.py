@@ -51,10 +51,25 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(key).agg(F.count(key).alias("occurrences")).filter(F.col("occurrences") > 1)
 
 
-def split_duplicates(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key occurs more than once, and rows whose key is not in that list."""
-    repeated = duplicate_keys(df, key)
-    return is_in(df, key, repeated, key), not_in(df, key, repeated, key)
+def rows_of_duplicates(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs more than once."""
+    return is_in(df, key, duplicate_keys(df, key), key)
+
+
+def rows_of_singles(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not null and occurs exactly once.
+
+    One aggregate instead of a join with the counts: where the count is one,
+    any row of the group is the row.
+    """
+    row = F.struct(*df.columns)
+    return (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.any_value(row).alias("_row"))
+        .filter(F.col("_rows") == 1)
+        .select("_row.*")
+    )
 
 
 def latest_per_key(
@@ -87,8 +102,8 @@ def surrogate_keys(names: DataFrame, column: str, key: str, start_after: Column)
     Equal to ``row_number()`` over one global ordering, without gathering all
     names in one task: names are range-partitioned and sorted, each partition
     numbers its own rows, and the sizes of the earlier partitions are added.
-    Range bounds come from a sample, so the numbered rows are checkpointed and
-    both uses see the same partitions. The offset table has one row per
+    Range bounds come from a sample, so the numbered rows are stored and both
+    uses see the same partitions. The offset table has one row per
     partition.
     """
     row_bits = (1 << 33) - 1

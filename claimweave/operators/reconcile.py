@@ -1,10 +1,12 @@
 """Reconciling an incoming provider file with the existing lookup table.
 
 Each branch is a property, evaluated when asked for, so a caller that needs one
-branch does not plan the others. Branches build on each other and most are read
-several times (rows, list of repeated tax IDs, null rule of NOT IN). The five
-row sets that others build on are therefore checkpointed once; without that the
-plan of the last output would hold dozens of copies of the first joins.
+branch does not plan the others.
+
+Tax IDs are tested with SQL ``NOT IN`` where the load is defined. The value lists
+(repeated, conflicting, clashing tax IDs) never hold a null, so the test is an
+anti join for every row that has a tax ID. Rows without one pass only while the
+lists are empty; those rows are planned separately, and only if there are any.
 """
 
 from __future__ import annotations
@@ -12,12 +14,20 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.cleansing import norm_name
 from claimweave.functions.tins import format_tin
-from claimweave.operators.keys import duplicate_keys, is_in, latest_per_key, not_in, split_duplicates, surrogate_keys
+from claimweave.operators.keys import (
+    duplicate_keys,
+    is_in,
+    latest_per_key,
+    not_in,
+    rows_of_duplicates,
+    rows_of_singles,
+    surrogate_keys,
+)
 from claimweave.operators.providers import LOOKUP_COLUMNS, timestamp_text
 from claimweave.storage import cut_lineage
 
@@ -29,12 +39,18 @@ _NAME = "healthcareorganizationname"
 _UNDATED = [c for c in LOOKUP_COLUMNS if c not in ("formattedtin", "refresh_date")]
 
 
+def _count(df: DataFrame) -> Column:
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 class Reconciliation:
     """Branches of one incremental load.
 
     ``existing`` has the columns of the lookup table, ``incoming`` the same
     without key, formatted tax ID and refresh date. ``now`` becomes the refresh
-    date of accepted rows. Outputs taken from one object share its checkpoints.
+    date of accepted rows. With ``store_branches`` the three row sets that all
+    outputs build on are stored, so that writing several outputs does not join
+    the inputs anew for each.
     """
 
     def __init__(
@@ -43,11 +59,13 @@ class Reconciliation:
         incoming: DataFrame,
         now: dt.datetime | str,
         tin_mode: str = "reference",
+        store_branches: bool = False,
     ):
         self.existing = existing.select(*LOOKUP_COLUMNS)
         self.incoming = incoming
         self._now = timestamp_text(now)
         self._tin_mode = tin_mode
+        self._keep = cut_lineage if store_branches else (lambda df: df)
 
     def _dated(self, rows: DataFrame) -> DataFrame:
         return rows.withColumns(
@@ -83,45 +101,44 @@ class Reconciliation:
             .withColumn("health_system_id", F.col("_system"))
         )
         columns = [F.col(c) for c in _UNDATED]
-        return own.select(*columns).unionByName(inherited.select(*columns)).distinct()
-
-    @cached_property
-    def _existing_provider_split(self) -> tuple[DataFrame, DataFrame]:
-        return split_duplicates(cut_lineage(self.existing_provider), "tin")
+        return self._keep(own.select(*columns).unionByName(inherited.select(*columns)).distinct())
 
     @cached_property
     def ep_duplicates(self) -> DataFrame:
         """Rows of known providers whose tax ID occurs more than once."""
-        return self._existing_provider_split[0]
+        return rows_of_duplicates(self.existing_provider, "tin")
 
     @cached_property
     def ep_unique(self) -> DataFrame:
-        """Rows of known providers whose tax ID occurs once, dated."""
-        return self._dated(self._existing_provider_split[1])
-
-    @cached_property
-    def _stored_ep_unique(self) -> DataFrame:
-        return cut_lineage(self.ep_unique)
+        """Rows of known providers whose tax ID is not repeated, dated."""
+        singles = self._dated(rows_of_singles(self.existing_provider, "tin"))
+        if not self._has_rows_without_tin:
+            return singles
+        return singles.unionByName(self._dated(self._without_tin(self.existing_provider)))
 
-    @cached_property
-    def _conflict_pairs(self) -> DataFrame:
-        new, old = self._stored_ep_unique.alias("new"), self.existing.alias("old")
+    def _clashes(self, new: DataFrame, old: DataFrame) -> Column:
         # Names are compared as written: another spelling counts as another provider.
-        return new.join(
-            old, (F.col("new.tin") == F.col("old.tin")) & (F.col(f"new.{_NAME}") != F.col(f"old.{_NAME}"))
-        )
+        return (new["tin"] == old["_tin"]) & (new[_NAME] != old["_name"])
 
     @cached_property
     def tin_conflict(self) -> DataFrame:
-        """Tax IDs listed under another name: the incoming rows, then the existing ones."""
-        pairs = self._conflict_pairs
-        return pairs.select("new.*").unionByName(pairs.select("old.*"))
+        """Tax IDs listed under another name: per pair the incoming and the existing row."""
+        new = self.ep_unique
+        old = self.existing.select(
+            F.col("tin").alias("_tin"), F.col(_NAME).alias("_name"), F.struct(*LOOKUP_COLUMNS).alias("_old")
+        )
+        pairs = new.join(old, self._clashes(new, old))
+        both = F.array(F.struct(*LOOKUP_COLUMNS), F.col("_old"))
+        return pairs.select(F.inline(both))
 
     @cached_property
     def ep_accepted(self) -> DataFrame:
         """Rows of known providers without a conflict."""
-        clashing = self._conflict_pairs.select(F.col("new.tin").alias("tin"))
-        return not_in(self._stored_ep_unique, "tin", clashing, "tin")
+        new = self.ep_unique
+        old = self.existing.select(F.col("tin").alias("_tin"), F.col(_NAME).alias("_name"))
+        # A tax ID occurs once here, so it is free of conflicts when its row is.
+        accepted = new.join(old, self._clashes(new, old), "left_anti")
+        return self._only_if_none(accepted, self.tin_conflict)
 
     # Tax IDs that are already known ----------------------------------------
 
@@ -135,17 +152,12 @@ class Reconciliation:
             .alias("new")
         )
         updated = ("mpin", "tinname", "health_system_id", "pcorname", "claimsthrudate")
-        return (
-            old.join(new, F.col("old.tin") == F.col("new.tin"))
-            .select(
-                *[
-                    (F.coalesce(f"new.{c}", f"old.{c}") if c in updated else F.col(f"old.{c}")).alias(c)
-                    for c in LOOKUP_COLUMNS
-                    if c != "refresh_date"
-                ]
-            )
-            .distinct()
-        )
+        columns = [
+            (F.coalesce(f"new.{c}", f"old.{c}") if c in updated else F.col(f"old.{c}")).alias(c)
+            for c in LOOKUP_COLUMNS
+            if c != "refresh_date"
+        ]
+        return self._keep(old.join(new, F.col("old.tin") == F.col("new.tin")).select(*columns).distinct())
 
     @cached_property
     def tin_duplicates(self) -> DataFrame:
@@ -154,9 +166,7 @@ class Reconciliation:
         These are rejected and merged as well; tax IDs with one record are
         neither. That is how the load is defined.
         """
-        rows = cut_lineage(self.existing_tin)
-        repeated = is_in(rows, "tin", duplicate_keys(rows, "tin"), "tin")
-        return repeated.withColumn("refresh_date", F.lit(self._now))
+        return rows_of_duplicates(self.existing_tin, "tin").withColumn("refresh_date", F.lit(self._now))
 
     # New providers ----------------------------------------------------------
 
@@ -177,27 +187,27 @@ class Reconciliation:
         """Incoming rows of new providers with their keys; each spelling of a name has its own."""
         keys = self.new_keys.select(norm_name(_NAME).alias("_new"), "providersyskey")
         rows = self.incoming.join(keys, norm_name(_NAME) == F.col("_new"))
-        return rows.withColumn("formattedtin", format_tin("tin", self._tin_mode)).select(
-            *[c for c in LOOKUP_COLUMNS if c != "refresh_date"]
+        return self._keep(
+            rows.withColumn("formattedtin", format_tin("tin", self._tin_mode)).select(
+                *[c for c in LOOKUP_COLUMNS if c != "refresh_date"]
+            )
         )
 
     @cached_property
-    def _new_provider_split(self) -> tuple[DataFrame, DataFrame]:
-        return split_duplicates(cut_lineage(self.new_provider), "tin")
+    def np_duplicates(self) -> DataFrame:
+        """Rows of new providers whose tax ID occurs more than once."""
+        return rows_of_duplicates(self.new_provider, "tin")
 
     @cached_property
     def _np_unique(self) -> DataFrame:
-        return cut_lineage(self._new_provider_split[1])
-
-    @cached_property
-    def np_duplicates(self) -> DataFrame:
-        """Rows of new providers whose tax ID occurs more than once."""
-        return self._new_provider_split[0]
+        singles = rows_of_singles(self.new_provider, "tin")
+        if self._has_rows_without_tin:
+            singles = singles.unionByName(self._without_tin(self.new_provider))
+        return singles.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
 
     @cached_property
     def _np_clash(self) -> DataFrame:
-        clash = is_in(self._np_unique, "tin", self.existing, "tin")
-        return clash.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
+        return is_in(self._np_unique, "tin", self.existing, "tin")
 
     @cached_property
     def np_conflict(self) -> DataFrame:
@@ -207,8 +217,25 @@ class Reconciliation:
     @cached_property
     def np_accepted(self) -> DataFrame:
         """Rows of new providers with unknown tax IDs, dated."""
-        accepted = not_in(self._np_unique, "tin", self._np_clash, "tin")
-        return accepted.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
+        known = self.existing.select(F.col("tin").alias("_tin")).distinct()
+        accepted = self._np_unique.join(known, F.col("tin") == F.col("_tin"), "left_anti")
+        return self._only_if_none(accepted, self._np_clash)
+
+    # Rows without a tax ID ----------------------------------------------------
+
+    @cached_property
+    def _has_rows_without_tin(self) -> bool:
+        return not self.incoming.filter(F.col("tin").isNull()).isEmpty()
+
+    def _without_tin(self, rows: DataFrame) -> DataFrame:
+        """Rows without a tax ID, if no tax ID is repeated."""
+        return rows.filter(F.col("tin").isNull() & (_count(duplicate_keys(rows, "tin")) == 0))
+
+    def _only_if_none(self, accepted: DataFrame, refused: DataFrame) -> DataFrame:
+        """Leave out rows without a tax ID once anything was refused."""
+        if not self._has_rows_without_tin:
+            return accepted
+        return accepted.filter(F.col("tin").isNotNull() | (_count(refused) == 0))
 
     # Outputs ------------------------------------------------------------------
 

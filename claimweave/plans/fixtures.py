@@ -12,7 +12,7 @@ from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
+from claimweave.sources import spread
 
 SPARK = {
     "text": "string",
@@ -43,12 +43,12 @@ TEMPLATES = {
                case l_linestatus when 'F' then 'Y' else 'N' end as FinalPassIndicator,
                o_orderpriority as ClaimDenialCategoryLevel1ShortName,
                l_linenumber as masteridclaimcount,
-               cast(l_extendedprice as decimal(18,2)) as UHCPaidAmount,
-               cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2)))
+               cast(l_extendedprice as decimal(12,2)) as UHCPaidAmount,
+               cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
                  as EstimatedAllowedSelectDeniedAmount,
-               cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2)))
+               cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
                  as ActualAllowedAmount,
-               cast(l_extendedprice as decimal(18,2)) * (1 + cast(l_tax as decimal(4,2))) as BilledAmount
+               cast(l_extendedprice as decimal(12,2)) * (1 + cast(l_tax as decimal(4,2))) as BilledAmount
         from {lineitem} join {orders} on l_orderkey = o_orderkey join {customer} on o_custkey = c_custkey
     """,
     "calls": """
@@ -194,8 +194,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The fact tables and the key their rows are spread by when they are small.
+_FACTS = {"lineitem": "l_orderkey", "events": "event_id"}
+
+
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The logical table ``name`` over the Parquet tables of ``sf_dir``."""
     text = Template(TEMPLATES[name]).substitute(SPARK)
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+    frames = {t: table(spark, sf_dir, t) for t in used}
+    for fact in used & _FACTS.keys():
+        frames[fact] = spread(frames[fact], _FACTS[fact])
+    return spark.sql(text, **frames)

@@ -39,3 +39,13 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
 def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """Run a query text; ``{name}`` in it stands for the DataFrame passed under that name."""
     return spark.sql(query, **frames)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Use every core on an input that has fewer splits than there are cores.
+
+    A large input has more splits than cores and stays exactly as scanned; only
+    a small one, say a single file, is hashed by ``columns`` once.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *columns)

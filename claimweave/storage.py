@@ -34,8 +34,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so later plans start from stored rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and return the stored rows.
+
+    Later plans start from the files, whatever happens to the executors that
+    wrote them. Unlike an RDD checkpoint this computes ``df`` once, and the
+    files tell Spark their size, so joins with small results can broadcast.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,17 +16,30 @@ def provider_tins(lookup: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def provider_tin_list(lookup: DataFrame) -> DataFrame:
+def provider_tin_list(lookup: DataFrame, part_size: int = 100_000) -> DataFrame:
     """One document per provider system; ``ALL`` lists its tax IDs in order.
 
-    A document is one row, so its list grows with the provider. Only distinct
-    pairs are collected; use ``provider_tins`` where rows will do.
+    A document is one row, held by one task and limited in size by document
+    stores. A provider with more than ``part_size`` tax IDs therefore gets
+    several documents of about that size, which together list each ID once.
     """
-    entry = F.struct("TIN", "TINNAME")
+    provider = ["ProviderKey", "ProviderSystem"]
+    rows = provider_tins(lookup)
+    large = (
+        rows.groupBy(*provider)
+        .agg(F.count(F.lit(1)).alias("_ids"))
+        .filter(F.col("_ids") > part_size)
+        .select(*[F.col(c).alias(f"_{c}") for c in provider], F.ceil(F.col("_ids") / part_size).alias("_parts"))
+    )
+    same = F.lit(True)
+    for column in provider:
+        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    part = F.coalesce(F.pmod(F.xxhash64("TIN", "TINNAME"), F.col("_parts")), F.lit(0))
     return (
-        provider_tins(lookup)
-        .groupBy("ProviderKey", "ProviderSystem")
-        .agg(F.sort_array(F.collect_list(entry)).alias("ALL"))
+        rows.join(large, same, "left")
+        .groupBy(*provider, part.alias("_part"))
+        .agg(F.sort_array(F.collect_list(F.struct("TIN", "TINNAME"))).alias("ALL"))
+        .drop("_part")
     )
 
 

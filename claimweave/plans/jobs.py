@@ -46,7 +46,7 @@ def _documents(df: DataFrame, path: str, store: DocumentStore | None) -> None:
     overwrite_json(df, path)
     if store:
         # The written files, not the plan, are published: no recomputation.
-        stored = read_json(df.sparkSession, path, df.schema.simpleString()[len("struct<") : -1])
+        stored = read_json(df.sparkSession, path, df.schema)
         publish_documents(stored, store.file_format, **store.options)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -11,7 +12,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, path: str, file_format: str, schema: str | None = None, **options: str
+    spark: SparkSession, path: str, file_format: str, schema: StructType | str | None = None, **options: str
 ) -> DataFrame:
     """Files of any format Spark or an installed connector knows."""
     if not path:
@@ -26,12 +27,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return read_files(spark, path, "parquet")
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None, **options: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, **options: str) -> DataFrame:
     """CSV with a header: typed by ``schema`` (bad fields become null), else all strings."""
     return read_files(spark, path, "csv", schema, **{"header": "true", **options})
 
 
-def read_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """JSON lines. Without a schema Spark reads the data once more to infer it."""
     return read_files(spark, path, "json", schema)
 

@@ -31,9 +31,7 @@ def provider_tin_list(lookup: DataFrame, part_size: int = 100_000) -> DataFrame:
         .filter(F.col("_ids") > part_size)
         .select(*[F.col(c).alias(f"_{c}") for c in provider], F.ceil(F.col("_ids") / part_size).alias("_parts"))
     )
-    same = F.lit(True)
-    for column in provider:
-        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in provider]
     part = F.coalesce(F.pmod(F.xxhash64("TIN", "TINNAME"), F.col("_parts")), F.lit(0))
     return (
         rows.join(large, same, "left")

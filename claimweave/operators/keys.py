@@ -33,9 +33,9 @@ def not_in(probe: DataFrame, key: Column | str, values: DataFrame, column: str)
     key = F.col(key) if isinstance(key, str) else key
     keyed = probe.withColumn("_key", key)
     members = _reduced(values, column)
-    state = members.agg(
+    state = values.agg(
         F.when(F.count(F.lit(1)) == 0, "empty")
-        .when(F.count(F.lit(1)) > F.count("_member"), "has null")
+        .when(F.count(F.lit(1)) > F.count(column), "has null")
         .otherwise("plain")
         .alias("state")
     ).scalar()

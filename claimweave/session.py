@@ -9,6 +9,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Warehouse tables written by other tools store text as plain binary.
+    "spark.sql.parquet.binaryAsString": "true",
 }
 
 

@@ -42,11 +42,16 @@ def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(query, **frames)
 
 
+# At the default split size this is 2 GB.
+_SMALL_SPLITS = 16
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use every core on an input that has fewer splits than there are cores.
+    """Use every core on a small input that has fewer splits than there are cores.
 
-    A large input has more splits than cores and stays exactly as scanned; only
-    a small one, say a single file, is hashed by ``columns`` once.
+    Meant for a file or two. Anything beyond a few splits stays exactly as
+    scanned: shuffling it would cost more than the idle cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *columns)
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores, *columns) if splits < cores and splits <= _SMALL_SPLITS else df

@@ -44,7 +44,7 @@ from claimweave.sinks import (
 )
 from claimweave.sources import read_csv, read_json, read_parquet, run_sql
 from claimweave.sources.schemas import USER_ASSOCIATION
-from claimweave.storage import scratch_path
+from claimweave.storage import cut_lineage, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,19 +82,25 @@ def _document_text(level: str, period: str, spark: SparkSession, sf_dir: str) ->
 
 
 def claims_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = [F.sum("masteridclaimcount").alias("claims"), F.sum("BilledAmount").alias("billed")]
-    totals = with_totals(
-        build(spark, sf_dir, "claims"), ["IncurredServiceDate"], "BusinessSegmentIdentifier", sums
+    day, segment = "IncurredServiceDate", "BusinessSegmentIdentifier"
+    # Reduced first: grouping sets copy each row once per grain.
+    reduced = (
+        build(spark, sf_dir, "claims")
+        .groupBy(day, segment)
+        .agg(F.sum("masteridclaimcount").alias("claims"), F.sum("BilledAmount").alias("billed"))
     )
+    totals = with_totals(reduced, [day], segment, [F.sum(c).alias(c) for c in ("claims", "billed")])
     return _plain(totals).withColumn("is_total", F.col("is_total").cast("int"))
 
 
 def segment_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["ProviderSystem", "ProviderKey", "TIN", "ReportingPeriod"]
-    summary = _claims(claims_ops.claims_summary, "tin", "month", spark, sf_dir).filter(F.col("Segment") == "E&I")
-    denials = _claims(claims_ops.claims_denials, "tin", "month", spark, sf_dir).filter(F.col("Segment") == "C&S")
-    denied = denials.groupBy(*keys).agg(F.sum("DenialCount").alias("ClaimsDenied"))
-    return full_outer_using(summary.select(*keys, "ClaimsPaid"), denied, keys)
+    summary = _claims(claims_ops.claims_summary, "tin", "month", spark, sf_dir)
+    # Both sides need other columns; without storing, each would scan the claims.
+    rows = cut_lineage(summary.select(*keys, "Segment", "ClaimsPaid", "ClaimsDenied"))
+    paid = rows.filter(F.col("Segment") == "E&I").select(*keys, "ClaimsPaid")
+    denied = rows.filter((F.col("Segment") == "C&S") & (F.col("ClaimsDenied") > 0)).select(*keys, "ClaimsDenied")
+    return full_outer_using(paid, denied, keys)
 
 
 # Calls, self-service, quality

@@ -172,14 +172,6 @@ def test_document_schema(spark):
     assert df.isEmpty()
 
 
-def test_claims_are_scanned_and_shuffled_once(spark):
-    claims, lookup = spark.createDataFrame(claim_rows(1), CLAIMS), spark.createDataFrame(LOOKUP_ROWS, LOOKUP)
-    claims = claims.filter(F.col("masteridclaimcount") >= 0)
-    for operator in (claims_summary, claims_denials, claims_documents):
-        plan = operator(claims, lookup, "system", "month")._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("masteridclaimcount") and plan.count(">= 0") == 1
-
-
 def test_unknown_level_or_period(spark):
     claims, lookup = spark.createDataFrame([], CLAIMS), spark.createDataFrame([], LOOKUP)
     with pytest.raises(ValueError):

@@ -32,6 +32,9 @@ def test_entry(spark):
 def test_query(spark, duck, sf_dir, name):
     df = driver.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("Cartesian", "NestedLoop", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan
     cursor = duck.execute(driver.oracle_sql()[name])
     types = {d[0]: str(d[1]) for d in cursor.description}
     order = [d[0] for d in cursor.description]

@@ -56,37 +56,34 @@ _AVERAGES = [prefix + "prctm" for prefix, _, _ in PROCESSING]
 _CLAIM_COUNTS = [prefix + "cnt" for prefix, _, _ in PROCESSING]
 
 
+def _one_of(column: str, values: list) -> str:
+    return f"{column} in ({', '.join(repr(v) for v in values)})"
+
+
 def _fact_sums(current: int) -> dict[str, Column]:
     """Every sum the metrics need; all of them can be re-summed after the lookup."""
-    txn, channel = F.col("txn"), F.col("channel")
 
-    def total(condition: Column, value: Column) -> Column:
-        return F.sum(F.when(condition, value).otherwise(F.lit(0)))
+    def total(condition: str, value: str) -> Column:
+        return F.expr(f"sum(case when {condition} then {value} else 0 end)")
 
     sums = {}
     for prefix, kind, via in PROCESSING:
-        rows = (
-            (F.col("table") == "clm_proc")
-            & (F.col("data_coverage") == "3-month")
-            & (txn == kind)
-            & (channel == via)
-        )
-        sums[f"_{prefix}_time"] = total(rows, F.col("avg_proc_time"))
-        sums[f"_{prefix}_rows"] = total(rows, F.lit(1))
-        sums[prefix + "cnt"] = total(rows, F.col("clm_count"))
-    recent = F.col("monthyear").isin([current - back for back in CALL_MONTHS_BACK])
-    calls = channel == "calls"
-    count = F.col("txn_cnt")
+        rows = f"`table` = 'clm_proc' and data_coverage = '3-month' and txn = '{kind}' and channel = '{via}'"
+        sums[f"_{prefix}_time"] = total(rows, "avg_proc_time")
+        sums[f"_{prefix}_rows"] = total(rows, "1")
+        sums[prefix + "cnt"] = total(rows, "clm_count")
+    recent_call = "channel = 'calls' and " + _one_of("monthyear", [current - back for back in CALL_MONTHS_BACK])
     for column, kind in CALL_COLUMNS.items():
-        sums[column] = total(calls & (txn == kind) & recent, count)
-    sums["callcnt"] = total(calls & txn.isin(CALL_TYPES) & recent, count)
-    sums["PnPelec"] = total(channel == "PnP_elec", count)
-    sums["PnPpaper"] = total(channel == "PnP_paper", count)
-    sums["cnccall"] = total(calls & txn.isin(CONTACT_CALL_TYPES), count)
-    sums["cncpaper"] = total((channel == "Payer") & (F.substring(txn, -5, 5) == "Paper"), count)
-    sums["SelfServeCnC"] = total(
-        channel.isin(SELF_SERVICE_CHANNELS) | (F.substring(txn, -3, 3) == "EDI"), count
-    )
+        sums[column] = total(f"{recent_call} and txn = '{kind}'", "txn_cnt")
+    counts = {
+        "callcnt": f"{recent_call} and {_one_of('txn', CALL_TYPES)}",
+        "PnPelec": "channel = 'PnP_elec'",
+        "PnPpaper": "channel = 'PnP_paper'",
+        "cnccall": f"channel = 'calls' and {_one_of('txn', CONTACT_CALL_TYPES)}",
+        "cncpaper": "channel = 'Payer' and endswith(txn, 'Paper')",
+        "SelfServeCnC": f"{_one_of('channel', SELF_SERVICE_CHANNELS)} or endswith(txn, 'EDI')",
+    }
+    sums.update({column: total(condition, "txn_cnt") for column, condition in counts.items()})
     return sums
 
 

@@ -1,8 +1,9 @@
 """The generic test tables, read as the tables the operators work on.
 
 Each template is one SELECT over whole tables. ``$text`` is the string type,
-``$q`` the quote of a name and ``$call_day`` a date as ``yyyyMMdd`` text, so that
-the same mapping can be run by Spark and by the engine that checks it.
+``$q`` the quote of a name, ``$call_day`` a date as ``yyyyMMdd`` text and
+``$digit_limits`` one row per limit, so that the same mapping can be run by Spark
+and by the engine that checks it.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from pyspark.sql.types import StructType
 
 from claimweave.sources import spread
 
+DIGIT_LIMITS = ", ".join(str(10**digits) for digits in (1, 3, 4, 5, 6, 7, 8, 9, 10))
+
 SPARK = {
     "text": "string",
     "q": "`",
+    "digit_limits": f"explode(array({DIGIT_LIMITS}))",
     "call_day": "date_format(date_sub(cast(ts as date), cast(event_id % 3 * 200 as int)), 'yyyyMMdd')",
 }
 
@@ -164,16 +168,8 @@ TEMPLATES = {
         from {customer}
     """,
     "tins": """
-        select distinct tin from (
-          select cast((o_orderkey * 7919 + 1) * 1000003 % 10 as bigint) as tin from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 1000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 10000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 100000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 1000000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 10000000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 100000000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 1000000000 as bigint) from {orders}
-          union all select cast((o_orderkey * 7919 + 1) * 1000003 % 10000000000 as bigint) from {orders}) t
+        select distinct cast((o_orderkey * 7919 + 1) * 1000003 % below as bigint) as tin
+        from (select o_orderkey, $digit_limits as below from {orders}) t
     """,
     "raw_text": """
         select event_id,

@@ -180,3 +180,24 @@ def test_document_and_summary_jobs(spark, sf_dir):
     overwrite_csv(build(spark, sf_dir, "pcor"), pcor)
     jobs.pcor_job(spark, pcor, lookup, scores)
     assert len(read_parquet(spark, scores).columns) == 13
+
+
+def test_run_job(spark, sf_dir):
+    import run_job
+    from claimweave.plans.fixtures import build
+
+    claims, path, collection = (scratch_path(spark, n) for n in ("claims", "documents", "collection"))
+    overwrite_parquet(build(spark, sf_dir, "claims"), claims)
+    build(spark, sf_dir, "lookup").createOrReplaceTempView("job_lookup")
+    arguments = f"--claims parquet:{claims} --lookup job_lookup --level tin --period year --path {path}"
+    store = f"--store-format json --store-option path={collection}"
+    run_job.main(["claims_documents_job", *arguments.split(), *store.split()])
+    assert read_json(spark, path).count() == read_json(spark, collection).count() > 0
+    history = scratch_path(spark, "history")
+    overwrite_csv(build(spark, sf_dir, "history").drop("formattedtin"), history)
+    root, keys = scratch_path(spark, "lookup"), scratch_path(spark, "keys")
+    arguments = f"--history-path {history} --lookup-root {root} --key-path {keys} --create-date 2018-07-31"
+    run_job.main(["provider_history_job", *arguments.split(), "--now", "2018-07-31 13:00:00"])
+    assert {r.refresh_date for r in read_snapshot(spark, root).collect()} == {"2018-07-31 13:00:00"}
+    with pytest.raises(SystemExit):
+        run_job.main(["claims_documents_job"])

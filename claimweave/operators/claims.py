@@ -102,9 +102,13 @@ def _with_providers(claims: DataFrame, lookup: DataFrame, level: str, period: st
     ]
     if level == "tin":
         names.append(F.col("formattedtin").alias("TIN"))
+    # A tax ID listed several times for one provider counts as often. Its sums are
+    # multiplied instead of its rows, however often it is listed.
+    providers = lookup.groupBy(*names).agg(F.count(F.lit(1)).cast("int").alias("_times"))
     reduced = align_key(reduce_claims(claims, period), "providertin", lookup, "tin")
-    joined = reduced.join(lookup.select(*names), F.col("providertin") == F.col("_lookup_tin"))
-    return joined.drop("_lookup_tin", "providertin")
+    joined = reduced.join(providers, F.col("providertin") == F.col("_lookup_tin"))
+    times = {c: F.col(c) * F.col("_times") for c in _SUMS}
+    return joined.withColumns(times).drop("_lookup_tin", "providertin", "_times")
 
 
 def _sums() -> list[Column]:
@@ -191,6 +195,7 @@ def claims_documents(claims: DataFrame, lookup: DataFrame, level: str = "tin", p
     unmatched = reduce(Column.__or__, [F.col(k).isNull() for k in (keys if period == "year" else keys[:-1])])
     half = F.concat_ws(" ", "Block", F.col("is_summary").cast("string"))
     is_summary = F.col("is_summary") == 1
+    summary = F.struct(*_measures())
     denial = F.struct(
         F.col("Category").alias("claimdenialcategorylevel1shortname"),
         F.col("ClaimsDenied").alias("DenialCount"),
@@ -200,7 +205,7 @@ def claims_documents(claims: DataFrame, lookup: DataFrame, level: str = "tin", p
     collected = []
     for name in names:
         here = F.col("Block") == name
-        collected.append(F.first(F.when(here & is_summary, F.struct(*_measures())), ignorenulls=True).alias(f"_s{name}"))
+        collected.append(F.first(F.when(here & is_summary, summary), ignorenulls=True).alias(f"_s{name}"))
         # One entry per denial category, already summed.
         collected.append(F.collect_list(F.when(here & ~is_summary, denial)).alias(f"_d{name}"))
     documents = parts.groupBy(*keys, F.when(unmatched, half).otherwise(F.lit("")).alias("_apart")).agg(*collected)

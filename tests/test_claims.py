@@ -25,6 +25,8 @@ LOOKUP_ROWS = [
     (4, "South", None, "0-04"),
     (5, "South", 12, None),
     (2, "East", 13, "0-02"),  # a tax ID of two systems counts for both
+    (1, "North", 10, "0-01"),  # and one listed twice counts twice
+    (4, "South", None, "0-04"),
     (6, "West", 14, "0-06"),
 ]
 BLOCKS = {"E&I": "EI", "C&S": "CS", "M&R": "MR"}

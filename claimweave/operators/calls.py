@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.periods import as_date
-from claimweave.operators.keys import align_key
+from claimweave.operators.lookup import attach_providers
 
 # Line of business -> column; question type -> column prefix.
 LOB_COLUMNS = {"E&I": "EIVolume", "M&R": "MRVolume", "C&S": "CSVolume"}
@@ -43,10 +43,10 @@ def _reporting_period(as_of: dt.date | str, days: int) -> str:
 def _per_provider(calls, lookup, as_of, days, sums) -> DataFrame:
     # One row per tax ID before the lookup: a busy tax ID collapses map-side.
     per_tin = in_window(calls, as_of, days).groupBy("tin").agg(*[value.alias(name) for name, value in sums.items()])
-    per_tin = align_key(per_tin, "tin", lookup, "tin").withColumnRenamed("tin", "_tin")
-    providers = lookup.select("tin", "providersyskey", F.col("healthcareorganizationname").alias("providerName"))
+    per_tin = per_tin.withColumnRenamed("tin", "_tin")
+    names = {"providersyskey": "providersyskey", "healthcareorganizationname": "providerName"}
     return (
-        per_tin.join(providers, F.col("_tin") == F.col("tin"))
+        attach_providers(per_tin, "_tin", lookup, names, sums)
         .groupBy("providersyskey", "providerName")
         .agg(*[F.sum(name).alias(name) for name in sums])
         .select(F.lit(_reporting_period(as_of, days)).alias("ReportingPeriod"), "*")

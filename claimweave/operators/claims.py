@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from claimweave.functions.periods import month_start
 from claimweave.operators.grains import with_totals
-from claimweave.operators.keys import align_key
+from claimweave.operators.lookup import attach_providers
 
 # Business segment -> document block.
 BLOCKS = {"E&I": "EI", "C&S": "CS", "M&R": "MR"}
@@ -95,20 +95,10 @@ def reduce_claims(claims: DataFrame, period: str) -> DataFrame:
 
 
 def _with_providers(claims: DataFrame, lookup: DataFrame, level: str, period: str) -> DataFrame:
-    names = [
-        F.col("tin").alias("_lookup_tin"),
-        F.col("healthcareorganizationname").alias("ProviderSystem"),
-        F.col("providersyskey").alias("ProviderKey"),
-    ]
+    names = {"healthcareorganizationname": "ProviderSystem", "providersyskey": "ProviderKey"}
     if level == "tin":
-        names.append(F.col("formattedtin").alias("TIN"))
-    # A tax ID listed several times for one provider counts as often. Its sums are
-    # multiplied instead of its rows, however often it is listed.
-    providers = lookup.groupBy(*names).agg(F.count(F.lit(1)).cast("int").alias("_times"))
-    reduced = align_key(reduce_claims(claims, period), "providertin", lookup, "tin")
-    joined = reduced.join(providers, F.col("providertin") == F.col("_lookup_tin"))
-    times = {c: F.col(c) * F.col("_times") for c in _SUMS}
-    return joined.withColumns(times).drop("_lookup_tin", "providertin", "_times")
+        names["formattedtin"] = "TIN"
+    return attach_providers(reduce_claims(claims, period), "providertin", lookup, names, _SUMS)
 
 
 def _sums() -> list[Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions.periods import as_date, month_index
-from claimweave.operators.keys import align_key
+from claimweave.operators.lookup import attach_providers
 
 # Fixed values of the metric definitions.
 CALL_TYPES = ["APL", "ATH", "BEN", "CLM", "ELI", "MIS", "Others"]
@@ -107,11 +107,10 @@ def _monthly(facts: DataFrame, lookup: DataFrame, as_of: dt.date | str) -> DataF
         .groupBy("tax_id", "monthyear")
         .agg(*[value.alias(name) for name, value in sums.items()])
     )
-    per_tin = align_key(per_tin, "tax_id", lookup, "tin")
-    providers = lookup.select("tin", "providersyskey", "healthcareorganizationname")
+    provider = ["providersyskey", "healthcareorganizationname"]
     grouped = (
-        per_tin.join(providers, F.col("tax_id") == F.col("tin"))
-        .groupBy("providersyskey", "healthcareorganizationname", "monthyear")
+        attach_providers(per_tin, "tax_id", lookup, {c: c for c in provider}, sums)
+        .groupBy(*provider, "monthyear")
         .agg(*[F.sum(name).alias(name) for name in sums])
     )
     averaged = grouped.withColumns(

@@ -55,6 +55,8 @@ def test_calls(spark):
         (period, 11, "South", None, None, None),
         (period, 12, "Third", None, None, None),
     ]
+    twice = lookup(spark).unionAll(lookup(spark))
+    assert [r.EIVolume for r in call_volume_by_lob(calls, twice, "2024-01-20").filter("providersyskey = 10").collect()] == [10]
     north = call_metrics_by_question(calls, lookup(spark), "2024-01-20").filter("providersyskey = 10").first()
     assert (north.ClaimsCALLVOLUME, north.ClaimsCALLTIME) == (2, Decimal("1.50"))
     assert (north.PriorAuthCALLVOLUME, north.PriorAuthCALLTIME) == (3, Decimal("2.50"))
@@ -94,6 +96,9 @@ def test_self_service(spark):
     august = monthly[(10, 2023 * 12 + 8)]
     assert august.bencallcnt == 0 and august.cnccall == 6 and august.SizeOfOppcncwt == -2.0
     final = {r.ProviderSysKey: r for r in self_service_metrics(facts, lookup(spark), dt.date(2024, 3, 15)).collect()}
+    twice = self_service_monthly(facts, lookup(spark).unionAll(lookup(spark)), "2024-03-15")
+    doubled = twice.filter("providersyskey = 10 and monthyear = 2024 * 12 + 1").first()
+    assert (doubled.avgpclmprctm, doubled.avgpclmcnt, doubled.callcnt) == (15.0, 20, 20)
     assert final[10].ReportingPeriod == "20231101-20240101"
     assert final[10].bencallcnt == 6 and final[10].SizeOfOppcncwt == pytest.approx(2.0 - 2.0)
     assert final[11].pnpadptrt is None and final[11].lnkadptrt is None and final[11].overalladprt is None

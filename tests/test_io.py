@@ -33,7 +33,8 @@ def test_empty_path(spark):
 
 def test_csv_bad_fields_become_null(spark):
     path = scratch_path(spark, "csv")
-    rows = spark.createDataFrame([("7", "North", "u", "r"), ("x", "South", "v", None)], "k string, n string, u string, r string")
+    rows = [("7", "North", "u", "r"), ("x", "South", "v", None)]
+    rows = spark.createDataFrame(rows, "k string, n string, u string, r string")
     overwrite_csv(rows, path)
     assert plain(read_csv(spark, path, schemas.USER_ASSOCIATION)) == [(7, "North", "u", "r"), (None, "South", "v", None)]
     assert read_csv(spark, path).dtypes == [(c, "string") for c in ("k", "n", "u", "r")]

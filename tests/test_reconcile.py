@@ -72,7 +72,10 @@ def expected(existing, incoming):
     out["tin_conflict"] = [n for n, _ in pairs] + [e for _, e in pairs]
     out["ep_accepted"] = [r for r in unique if not_in(r[0], [n[0] for n, _ in pairs])]
     et = distinct(
-        (e[0], first(i[1], e[1]), first(i[2], e[2]), e[3], e[4], first(i[4], e[5]), e[6], first(i[5], e[7]), first(i[6], e[8]))
+        (
+            *(e[0], first(i[1], e[1]), first(i[2], e[2]), e[3], e[4], first(i[4], e[5])),
+            *(e[6], first(i[5], e[7]), first(i[6], e[8])),
+        )
         for e in existing
         for i in incoming
         if e[0] is not None and e[0] == i[0]
@@ -124,7 +127,8 @@ def random_load(seed, null_tins, null_names):
         key = 1 + names.index(name) if name else 50
         when = random.choice(["2018-07-31 09:00:00", "2018-07-31 12:30:00", "2018-07-31 13:30:00"])
         pcor = random.choice([None, "P"])
-        existing.append((tin, random.choice([None, k]), f"old {k % 3}", name, key, system, formatted(tin), pcor, "2018-01", when))
+        mpin, tinname = random.choice([None, k]), f"old {k % 3}"
+        existing.append((tin, mpin, tinname, name, key, system, formatted(tin), pcor, "2018-01", when))
     for k in range(26):
         incoming.append(
             (
@@ -184,7 +188,8 @@ def test_rows_without_tax_id_pass_while_nothing_is_refused(spark):
         (None, 5, "n", "Omega", None, None, "2018-06"),
         (21, 5, "n", "Omega", None, None, "2018-06"),
     ]
-    for rows in (incoming, [*incoming, (20, 6, "n", "Alpha", None, None, "2018-06"), (1, 6, "n", "Omega", None, None, "2018-06")]):
+    refused = [(20, 6, "n", "Alpha", None, None, "2018-06"), (1, 6, "n", "Omega", None, None, "2018-06")]
+    for rows in (incoming, [*incoming, *refused]):
         wanted = expected(existing, rows)
         load = Reconciliation(
             spark.createDataFrame(existing, EXISTING), spark.createDataFrame(rows, PROVIDER_DELTA), NOW

@@ -56,35 +56,30 @@ _AVERAGES = [prefix + "prctm" for prefix, _, _ in PROCESSING]
 _CLAIM_COUNTS = [prefix + "cnt" for prefix, _, _ in PROCESSING]
 
 
-def _one_of(column: str, values: list) -> str:
-    return f"{column} in ({', '.join(repr(v) for v in values)})"
-
-
 def _fact_sums(current: int) -> dict[str, Column]:
     """Every sum the metrics need; all of them can be re-summed after the lookup."""
+    txn, channel, count, zero = F.col("txn"), F.col("channel"), F.col("txn_cnt"), F.lit(0)
+    calls = channel == "calls"
+    recent_calls = calls & F.col("monthyear").isin([current - back for back in CALL_MONTHS_BACK])
+    processed = (F.col("table") == "clm_proc") & (F.col("data_coverage") == "3-month")
 
-    def total(condition: str, value: str) -> Column:
-        return F.expr(f"sum(case when {condition} then {value} else 0 end)")
+    def total(rows: Column, value: Column) -> Column:
+        return F.sum(F.when(rows, value).otherwise(zero))
 
     sums = {}
     for prefix, kind, via in PROCESSING:
-        rows = f"`table` = 'clm_proc' and data_coverage = '3-month' and txn = '{kind}' and channel = '{via}'"
-        sums[f"_{prefix}_time"] = total(rows, "avg_proc_time")
-        sums[f"_{prefix}_rows"] = total(rows, "1")
-        sums[prefix + "cnt"] = total(rows, "clm_count")
-    recent_call = "channel = 'calls' and " + _one_of("monthyear", [current - back for back in CALL_MONTHS_BACK])
-    for column, kind in CALL_COLUMNS.items():
-        sums[column] = total(f"{recent_call} and txn = '{kind}'", "txn_cnt")
-    counts = {
-        "callcnt": f"{recent_call} and {_one_of('txn', CALL_TYPES)}",
-        "PnPelec": "channel = 'PnP_elec'",
-        "PnPpaper": "channel = 'PnP_paper'",
-        "cnccall": f"channel = 'calls' and {_one_of('txn', CONTACT_CALL_TYPES)}",
-        "cncpaper": "channel = 'Payer' and endswith(txn, 'Paper')",
-        "SelfServeCnC": f"{_one_of('channel', SELF_SERVICE_CHANNELS)} or endswith(txn, 'EDI')",
-    }
-    sums.update({column: total(condition, "txn_cnt") for column, condition in counts.items()})
-    return sums
+        rows = processed & (txn == kind) & (channel == via)
+        sums[f"_{prefix}_time"] = total(rows, F.col("avg_proc_time"))
+        sums[f"_{prefix}_rows"] = F.count_if(rows)
+        sums[prefix + "cnt"] = total(rows, F.col("clm_count"))
+    counted = {column: recent_calls & (txn == kind) for column, kind in CALL_COLUMNS.items()}
+    counted["callcnt"] = recent_calls & txn.isin(CALL_TYPES)
+    counted["PnPelec"] = channel == "PnP_elec"
+    counted["PnPpaper"] = channel == "PnP_paper"
+    counted["cnccall"] = calls & txn.isin(CONTACT_CALL_TYPES)
+    counted["cncpaper"] = (channel == "Payer") & txn.endswith("Paper")
+    counted["SelfServeCnC"] = channel.isin(SELF_SERVICE_CHANNELS) | txn.endswith("EDI")
+    return sums | {column: total(rows, count) for column, rows in counted.items()}
 
 
 def _call_time() -> Column:

@@ -13,8 +13,8 @@ decided by intersecting the sorted n-gram arrays.
 What is asked for is the connected components, so pairs that are already
 connected need no decision. That keeps groups of thousands of near copies
 linear: first every representative meets the smallest one in each tile of its
-few smallest n-grams, which connects nearly all of them, and then the prefix
-tiles only look at pairs of different components.
+few smallest n-gram hashes, which connects nearly all of them, and then the
+prefix tiles only look at pairs of different components.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ _COUNTED, _LOCAL = 4_000_000, 8
 _FREQUENT = 131_072
 #: Smallest n-grams that a representative meets others by in the first step.
 _HEADS = 8
+#: How often that is done; the second time between what the first has connected.
+_ROUNDS = 2
 #: Ids that are broadcast at most (16 MB as a hashed relation); more are shuffled.
 _BROADCAST_IDS = 1_000_000
 
@@ -59,8 +61,8 @@ def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
 
 
 def _bits(size: int) -> int:
-    """Width of the bitmap: about two to eight bits per n-gram."""
-    return int(min(16384, 1 << max(7, (2 * size - 1).bit_length())))
+    """Width of the bitmap: four to eight bits per n-gram, fewer only for very large sets."""
+    return int(min(32768, 1 << max(7, (4 * size - 1).bit_length())))
 
 
 def _bitmap(grams: np.ndarray) -> bytes:
@@ -116,37 +118,39 @@ def frequent_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, last: np.ndarray) -> DataFrame:
-    """Per document: id, n_shingles, key (of the set), bits, prefix, in one pass over the texts.
+    """Per document: id, n_shingles, key (of the set), bits, heads, prefix, in one pass over the texts.
 
-    ``prefix`` is in the common order: n-grams outside ``last`` by hash, then the rest.
+    ``heads`` are the smallest hashes, ``prefix`` is in the common order: n-grams
+    outside ``last`` by hash, then the rest.
     """
     shared = docs.sparkSession.sparkContext.broadcast(last)
 
     def sign(batches):
         late = shared.value
         for batch in batches:
-            ids, size, key, bits, prefix = batch.column(0), [], [], [], []
+            ids, size, key, bits, heads, prefix = batch.column(0), [], [], [], [], []
             for grams in _sets(batch.column(1), n):
                 size.append(len(grams))
                 if not len(grams):
-                    key.append(None), bits.append(None), prefix.append(None)
+                    key.append(None), bits.append(None), heads.append(None), prefix.append(None)
                     continue
                 key.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
                 bits.append(_bitmap(grams))
+                heads.append(grams[:_HEADS].view(np.int64))
                 keep = len(grams) - ceil(len(grams) * percent / 100) + 1
                 if len(late):
                     is_late = late[np.minimum(np.searchsorted(late, grams), len(late) - 1)] == grams
                     grams = np.concatenate([grams[~is_late], grams[is_late]])
-                prefix.append(grams[: max(keep, _HEADS)].view(np.int64))
+                prefix.append(grams[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()),
-                 pa.array(prefix, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "key", "bits", "prefix"],
+                 pa.array(heads, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
+                ["id", "n_shingles", "key", "bits", "heads", "prefix"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col)).mapInArrow(
-        sign, f"id {kind}, n_shingles long, key binary, bits binary, prefix array<long>"
+        sign, f"id {kind}, n_shingles long, key binary, bits binary, heads array<long>, prefix array<long>"
     )
 
 
@@ -214,6 +218,7 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches):
         tile, held = None, []  # of the open tile: (size, id, component, home, words)
+        seen: set[tuple] = set()  # a pair meets in many tiles; a task reports it once while it remembers
         for batch in batches:
             out_a, out_b = [], []
             columns = [batch.column(c).to_pylist() for c in ("gram", "band", "n_shingles", "id", "component", "home", "bits")]
@@ -225,9 +230,14 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                 for n_x, x, component_x, home_x, words_x in held if home else ():
                     if component_x == component:
                         continue
-                    if _possible(n_x, words_x, size, words, percent):
-                        out_a.append(min(x, doc)), out_b.append(max(x, doc))
+                    pair = (min(x, doc), max(x, doc))
+                    if pair not in seen:
+                        seen.add(pair)
+                        if _possible(n_x, words_x, size, words, percent):
+                            out_a.append(pair[0]), out_b.append(pair[1])
                 held.append((size, doc, component, home, words))
+            if len(seen) > 1_000_000:
+                seen.clear()
             if out_a:
                 kind = batch.column("id").type
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, kind), pa.array(out_b, kind)], ["a", "b"])
@@ -238,6 +248,27 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     return placed.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
 
 
+def _placed(reps: DataFrame, components: DataFrame) -> DataFrame:
+    """``(id, component)`` of every representative; one without links is its own."""
+    found = reps.select("id").join(components.withColumnRenamed("node", "id"), "id", "left")
+    return found.select("id", F.coalesce("component", "id").alias("component"))
+
+
+def _hub_pairs(reps: DataFrame, joined: DataFrame) -> DataFrame:
+    """In each tile of a smallest n-gram, the first of every component with the first of the smallest component.
+
+    That is linear in the tile, and enough to connect near copies of one text:
+    they share a smallest n-gram with it almost surely.
+    """
+    heads = reps.select("id", F.explode("heads").alias("gram")).join(joined, "id")
+    members = heads.groupBy("gram", "component").agg(F.min("id").alias("id"), F.max("id").alias("last"))
+    hubs = members.groupBy("gram").agg(F.min(F.struct("component", "id", "last")).alias("hub"), F.max("component").alias("high"))
+    met = members.join(hubs.where("hub.component < high"), "gram").where("component <> hub.component")
+    ends = F.explode(F.array("id", "last"))
+    pairs = met.select("hub", ends.alias("x")).select("x", F.explode(F.array("hub.id", "hub.last")).alias("y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -261,17 +292,15 @@ def ngram_jaccard_join(
     ids = classes.where("class_id is not null").select(F.col("class_id").alias("id"), "key")
     reps = cut_lineage(signed.join(ids, ["id", "key"]).dropDuplicates(["id"]).drop("key"))
 
-    heads = reps.select("id", "n_shingles", F.explode(F.slice("prefix", 1, _HEADS)).alias("gram"))
-    hubs = heads.groupBy("gram").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    met = heads.join(hubs, "gram").select(F.col("id").alias("b"), F.explode(F.array("low", "high")).alias("a"))
-    near = met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = _linked(cut_lineage(_bounded(near, reps, percent)), docs, id_col, text_col, n, percent)
-    joined = cut_lineage(connected_components(first))
-
-    placed = reps.select("id", "n_shingles", "prefix").join(joined.withColumnRenamed("node", "id"), "id", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "id"))
-    keep = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
-    grams = placed.select("id", "component", F.explode(F.slice("prefix", F.lit(1), keep.cast("int"))).alias("gram"))
+    first = None
+    joined = reps.select("id", F.col("id").alias("component"))
+    for _ in range(_ROUNDS):
+        near = _hub_pairs(reps, joined)
+        found = _linked(cut_lineage(_bounded(near, reps, percent)), docs, id_col, text_col, n, percent)
+        first = found if first is None else cut_lineage(first.unionByName(found))
+        joined = cut_lineage(_placed(reps, connected_components(first)))
+
+    grams = reps.select("id", F.explode("prefix").alias("gram")).join(joined, "id")
     over = Window.partitionBy("gram")
     open_tiles = (
         grams.withColumn("low", F.min("component").over(over))

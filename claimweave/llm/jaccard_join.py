@@ -34,9 +34,9 @@ from claimweave.storage import cut_lineage
 
 #: N-grams of one task counted at once when looking for frequent ones, and the
 #: local count from which one is reported. Both shape the order only.
-_COUNTED, _LOCAL = 4_000_000, 8
-#: N-grams in the shared list of frequent ones: a bound on the broadcast (1 MB).
-_FREQUENT = 131_072
+_COUNTED, _LOCAL = 2_000_000, 3
+#: N-grams in the shared list of frequent ones: a bound on the broadcast (4 MB).
+_FREQUENT = 524_288
 #: Smallest n-grams that a representative meets others by in the first step.
 _HEADS = 8
 #: How often that is done; the second time between what the first has connected.
@@ -236,7 +236,7 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                         if _possible(n_x, words_x, size, words, percent):
                             out_a.append(pair[0]), out_b.append(pair[1])
                 held.append((size, doc, component, home, words))
-            if len(seen) > 1_000_000:
+            if len(seen) > 200_000:
                 seen.clear()
             if out_a:
                 kind = batch.column("id").type
@@ -310,10 +310,12 @@ def ngram_jaccard_join(
     )
     # A document is at home in the band of its own size and visits the next one.
     band = F.floor(F.log("n_shingles") / F.log(F.lit(100.0 / percent)))
-    sized = open_tiles.join(reps.select("id", "n_shingles", "bits"), "id")
-    tiles = sized.select(
-        "*", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("home")), F.struct((band + 1).alias("band"), F.lit(False).alias("home")))).alias("at")
-    ).select("gram", "at.band", "n_shingles", "id", "component", "at.home", "bits")
+    places = F.array(*(F.struct((band + k).alias("band"), F.lit(k == 0).alias("home")) for k in (0, 1)))
+    banded = open_tiles.join(reps.select("id", "n_shingles"), "id").select("*", F.explode(places).alias("at"))
+    over = Window.partitionBy("gram", "at.band")
+    banded = banded.withColumn("low", F.min("component").over(over)).withColumn("high", F.max("component").over(over))
+    banded = banded.where("low < high").select("gram", "at.band", "n_shingles", "id", "component", "at.home")
+    tiles = banded.join(reps.select("id", "bits"), "id")
     rest = cut_lineage(_tile_pairs(tiles, percent))
     second = _linked(rest, docs, id_col, text_col, n, percent)
     whole = connected_components(first.unionByName(second))

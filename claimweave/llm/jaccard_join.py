@@ -41,6 +41,8 @@ _FREQUENT = 524_288
 _HEADS = 8
 #: How often that is done; the second time between what the first has connected.
 _ROUNDS = 2
+#: Rows of a tile up to which its pairs are sent to the bitmaps instead of the other way round.
+_SMALL_TILE = 16
 #: Ids that are broadcast at most (16 MB as a hashed relation); more are shuffled.
 _BROADCAST_IDS = 1_000_000
 
@@ -210,7 +212,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: in
 
 
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of different components within each (gram, band) tile.
+    """Candidate pairs of different components within each (gram, band) tile, by bit counts where there are bits.
 
     Rows arrive sorted by tile and size. A tile's earlier rows are kept only
     while their size can still reach the present one.
@@ -223,7 +225,7 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             out_a, out_b = [], []
             columns = [batch.column(c).to_pylist() for c in ("gram", "band", "n_shingles", "id", "component", "home", "bits")]
             for gram, band, size, doc, component, home, bits in zip(*columns, strict=True):
-                words = np.frombuffer(bits, np.uint64)
+                words = np.frombuffer(bits, np.uint64) if bits else None
                 if (gram, band) != tile:
                     tile, held = (gram, band), []
                 held = [x for x in held if x[0] * 100 >= size * percent] if held and held[0][0] * 100 < size * percent else held
@@ -233,7 +235,7 @@ def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                     pair = (min(x, doc), max(x, doc))
                     if pair not in seen:
                         seen.add(pair)
-                        if _possible(n_x, words_x, size, words, percent):
+                        if words is None or _possible(n_x, words_x, size, words, percent):
                             out_a.append(pair[0]), out_b.append(pair[1])
                 held.append((size, doc, component, home, words))
             if len(seen) > 200_000:
@@ -314,9 +316,12 @@ def ngram_jaccard_join(
     banded = open_tiles.join(reps.select("id", "n_shingles"), "id").select("*", F.explode(places).alias("at"))
     over = Window.partitionBy("gram", "at.band")
     banded = banded.withColumn("low", F.min("component").over(over)).withColumn("high", F.max("component").over(over))
-    banded = banded.where("low < high").select("gram", "at.band", "n_shingles", "id", "component", "at.home")
-    tiles = banded.join(reps.select("id", "bits"), "id")
-    rest = cut_lineage(_tile_pairs(tiles, percent))
+    banded = banded.where("low < high").withColumn("rows", F.count("*").over(over))
+    banded = cut_lineage(banded.select("gram", "at.band", "n_shingles", "id", "component", "at.home", "rows"))
+    # Bitmaps travel to the large tiles; from small ones it is the few pairs that travel to the bitmaps.
+    small = _tile_pairs(banded.where(F.col("rows") <= _SMALL_TILE).withColumn("bits", F.lit(None).cast("binary")), percent)
+    large = _tile_pairs(banded.where(F.col("rows") > _SMALL_TILE).join(reps.select("id", "bits"), "id"), percent)
+    rest = cut_lineage(_bounded(cut_lineage(small), reps, percent).unionByName(large).distinct())
     second = _linked(rest, docs, id_col, text_col, n, percent)
     whole = connected_components(first.unionByName(second))
 

@@ -11,6 +11,7 @@ from claimweave.functions.cleansing import (
 )
 from claimweave.functions.periods import (
     as_date,
+    in_pass_year,
     month_index,
     month_start,
     pass_years,
@@ -26,6 +27,7 @@ __all__ = [
     "clean_long",
     "clean_string",
     "format_tin",
+    "in_pass_year",
     "md5_hex",
     "month_index",
     "month_start",

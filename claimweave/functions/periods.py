@@ -40,6 +40,15 @@ def rolling_12_months(c: Column | str, as_of: dt.date | str) -> Column:
     return _col(c).between(F.lit(start), F.lit(end))
 
 
+def in_pass_year(c: Column | str, as_of: dt.date | str, back: int = 0) -> Column:
+    """True for dates in the year of ``as_of``, or in the one ``back`` years before it.
+
+    The bounds are literals, so the predicate reaches the file scan.
+    """
+    year = as_date(as_of).year - back
+    return _col(c).between(F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31)))
+
+
 def pass_years(as_of: dt.date | str) -> tuple[int, int, int]:
     """The current year and the two before it."""
     year = as_date(as_of).year

@@ -16,28 +16,21 @@ def provider_tins(lookup: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def provider_tin_list(lookup: DataFrame, part_size: int = 100_000) -> DataFrame:
-    """One document per provider system; ``ALL`` lists its tax IDs in order.
+def provider_tin_list(lookup: DataFrame, parts: int = 1) -> DataFrame:
+    """Documents per provider system; ``ALL`` lists tax IDs in order.
 
     A document is one row, held by one task and limited in size by document
-    stores. A provider with more than ``part_size`` tax IDs therefore gets
-    several documents of about that size, which together list each ID once.
+    stores. Where providers may have more tax IDs than that, the caller asks for
+    several ``parts``: every provider then has up to that many documents, told
+    apart by ``Part`` (from 0), which together list each tax ID once.
     """
-    provider = ["ProviderKey", "ProviderSystem"]
-    rows = provider_tins(lookup)
-    large = (
-        rows.groupBy(*provider)
-        .agg(F.count(F.lit(1)).alias("_ids"))
-        .filter(F.col("_ids") > part_size)
-        .select(*[F.col(c).alias(f"_{c}") for c in provider], F.ceil(F.col("_ids") / part_size).alias("_parts"))
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in provider]
-    part = F.coalesce(F.pmod(F.xxhash64("TIN", "TINNAME"), F.col("_parts")), F.lit(0))
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    part = F.pmod(F.xxhash64("TIN", "TINNAME"), F.lit(parts)).cast("int").alias("Part")
     return (
-        rows.join(large, same, "left")
-        .groupBy(*provider, part.alias("_part"))
+        provider_tins(lookup)
+        .groupBy("ProviderKey", "ProviderSystem", part)
         .agg(F.sort_array(F.collect_list(F.struct("TIN", "TINNAME"))).alias("ALL"))
-        .drop("_part")
     )
 
 

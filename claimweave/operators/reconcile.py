@@ -6,7 +6,7 @@ branch does not plan the others.
 Tax IDs are tested with SQL ``NOT IN`` where the load is defined. The value lists
 (repeated, conflicting, clashing tax IDs) never hold a null, so the test is an
 anti join for every row that has a tax ID. Rows without one pass only while the
-lists are empty; those rows are planned separately, and only if there are any.
+lists are empty; they have a branch of their own, behind a one-value subquery.
 """
 
 from __future__ import annotations
@@ -112,8 +112,6 @@ class Reconciliation:
     def ep_unique(self) -> DataFrame:
         """Rows of known providers whose tax ID is not repeated, dated."""
         singles = self._dated(rows_of_singles(self.existing_provider, "tin"))
-        if not self._has_rows_without_tin:
-            return singles
         return singles.unionByName(self._dated(self._without_tin(self.existing_provider)))
 
     def _clashes(self, new: DataFrame, old: DataFrame) -> Column:
@@ -201,8 +199,7 @@ class Reconciliation:
     @cached_property
     def _np_unique(self) -> DataFrame:
         singles = rows_of_singles(self.new_provider, "tin")
-        if self._has_rows_without_tin:
-            singles = singles.unionByName(self._without_tin(self.new_provider))
+        singles = singles.unionByName(self._without_tin(self.new_provider))
         return singles.withColumn("refresh_date", F.lit(self._now)).select(*LOOKUP_COLUMNS)
 
     @cached_property
@@ -223,18 +220,12 @@ class Reconciliation:
 
     # Rows without a tax ID ----------------------------------------------------
 
-    @cached_property
-    def _has_rows_without_tin(self) -> bool:
-        return not self.incoming.filter(F.col("tin").isNull()).isEmpty()
-
     def _without_tin(self, rows: DataFrame) -> DataFrame:
         """Rows without a tax ID, if no tax ID is repeated."""
         return rows.filter(F.col("tin").isNull() & (_count(duplicate_keys(rows, "tin")) == 0))
 
     def _only_if_none(self, accepted: DataFrame, refused: DataFrame) -> DataFrame:
         """Leave out rows without a tax ID once anything was refused."""
-        if not self._has_rows_without_tin:
-            return accepted
         return accepted.filter(F.col("tin").isNotNull() | (_count(refused) == 0))
 
     # Outputs ------------------------------------------------------------------

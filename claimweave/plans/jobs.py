@@ -100,12 +100,14 @@ def provider_history_job(
     create_date: dt.date | str,
     now: dt.datetime,
 ) -> None:
-    """Full provider file to the first lookup snapshot and the key list."""
+    """Full provider file to the first lookup snapshot and the key list.
+
+    The snapshot is published last, so a load that fails earlier can simply be
+    run again.
+    """
     lookup = load_provider_history(read_csv(spark, history_path, schemas.PROVIDER_HISTORY), now)
+    overwrite_csv(provider_key_list(lookup, create_date, now), key_path)
     publish_snapshot(lookup, lookup_root, now)
-    # Read back: the key list describes exactly the published rows.
-    published = read_snapshot(spark, lookup_root, now)
-    overwrite_csv(provider_key_list(published, create_date, now), key_path)
 
 
 def provider_incremental_job(

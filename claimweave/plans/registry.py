@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -18,6 +19,7 @@ from claimweave.functions import (
     clean_long,
     clean_string,
     format_tin,
+    in_pass_year,
     md5_hex,
     month_index,
     rolling_12_months,
@@ -41,6 +43,7 @@ from claimweave.sinks import (
     publish_snapshot,
     read_snapshot,
     register_external_table,
+    save,
 )
 from claimweave.sources import read_csv, read_json, read_parquet, run_sql
 from claimweave.sources.schemas import USER_ASSOCIATION
@@ -50,6 +53,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CALLS_AS_OF = dt.date(2024, 1, 20)
 SELF_SERVICE_AS_OF = dt.date(2024, 3, 15)
+PASS_AS_OF = dt.date(1998, 7, 31)
 CREATED = dt.date(2018, 7, 31)
 LOADED = dt.datetime(2018, 7, 31, 12, 30)
 NOW = dt.datetime(2018, 8, 31)
@@ -147,7 +151,7 @@ def pcor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tin_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = provider_tin_list(build(spark, sf_dir, "lookup"))
-    return documents.select("ProviderKey", "ProviderSystem", F.inline("ALL"))
+    return documents.withColumn("ALL", F.to_json("ALL"))
 
 
 def user_association(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +238,14 @@ def months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").groupBy(index).agg(F.count(F.lit(1)).alias("items"))
 
 
+def pass_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem")
+    shipped = F.col("l_shipdate")
+    years = [F.when(in_pass_year(shipped, PASS_AS_OF, back), back) for back in range(3)]
+    wanted = items.where(in_pass_year(shipped, PASS_AS_OF, 2) | in_pass_year(shipped, PASS_AS_OF, 1) | in_pass_year(shipped, PASS_AS_OF))
+    return wanted.groupBy(F.coalesce(*years).cast("long").alias("back")).agg(F.count(F.lit(1)).alias("items"))
+
+
 def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build(spark, sf_dir, "raw_text").select(
         "event_id",
@@ -322,6 +334,26 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*_ORDER_COLUMNS)
 
 
+def save_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "saved")
+    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    save(regions, path, "parquet")
+    try:
+        save(regions.limit(0), path, "parquet")
+        refused = 0
+    except AnalysisException:
+        refused = 1
+    return read_parquet(spark, path).withColumn("refused", F.lit(refused))
+
+
+def save_default_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "saved")
+    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    save(regions, path)
+    save(regions.where("r_regionkey > 1"), path, mode="overwrite")
+    return spark.read.load(path)
+
+
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "snapshots")
     columns = ["tin", "tinname", "healthcareorganizationname"]
@@ -370,6 +402,9 @@ def queries() -> dict[str, Query]:
         append_write=append_write,
         register_external_table=external_table,
         snapshot_publish=snapshot_publish,
+        pass_years=pass_years,
+        save_error_if_exists=save_error_if_exists,
+        save_default_format=save_default_format,
     )
     for key, branch in _BRANCHES.items():
         registered[key] = partial(_branch, branch)

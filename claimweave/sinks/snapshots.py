@@ -1,13 +1,16 @@
 """Versioned publishing: every load writes a new folder, nothing is moved or replaced.
 
-``<root>/data/snapshot_ts=<ts>`` holds the rows of a load and ``<root>/commits``
-one row per finished load. A load becomes visible with its commit row, which is
-written last; a load that died half way is invisible and can be repeated.
+``<root>/data/<ts>-<attempt>`` holds the rows of one attempt of a load and
+``<root>/commits`` one row per finished load with the name of that folder. A load
+becomes visible with its commit row, which is written last; an attempt that died
+half way is invisible and can be repeated. Two attempts never share a folder: if
+both commit the same time, the first folder by name counts, for every reader.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +24,7 @@ def _stamp(at: dt.datetime | str) -> str:
 
 def _commits(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema("snapshot_ts string").json(f"{root}/commits")
+        return spark.read.schema("snapshot_ts string, folder string").json(f"{root}/commits")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -34,10 +37,11 @@ def publish_snapshot(df: DataFrame, root: str, at: dt.datetime | str) -> str:
     commits = _commits(spark, root)
     if commits is not None and not commits.filter(F.col("snapshot_ts") == stamp).isEmpty():
         raise ValueError(f"snapshot {stamp} is already published")
-    path = f"{root}/data/snapshot_ts={stamp}"
-    df.write.mode("overwrite").parquet(path)
-    spark.range(1).select(F.lit(stamp).alias("snapshot_ts")).coalesce(1).write.mode("append").json(f"{root}/commits")
-    return path
+    folder = f"{stamp}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/data/{folder}")
+    commit = spark.range(1).select(F.lit(stamp).alias("snapshot_ts"), F.lit(folder).alias("folder"))
+    commit.coalesce(1).write.mode("append").json(f"{root}/commits")
+    return f"{root}/data/{folder}"
 
 
 def read_snapshot(spark: SparkSession, root: str, at: dt.datetime | str | None = None) -> DataFrame:
@@ -45,7 +49,7 @@ def read_snapshot(spark: SparkSession, root: str, at: dt.datetime | str | None =
     commits = _commits(spark, root)
     if commits is not None and at is not None:
         commits = commits.filter(F.col("snapshot_ts") <= _stamp(at))
-    latest = commits.agg(F.max("snapshot_ts")).first()[0] if commits is not None else None
+    latest = commits.orderBy(F.desc("snapshot_ts"), "folder").first() if commits is not None else None
     if latest is None:
         raise ValueError(f"no snapshot below {root}")
-    return spark.read.parquet(f"{root}/data/snapshot_ts={latest}")
+    return spark.read.parquet(f"{root}/data/{latest['folder']}")

@@ -16,15 +16,19 @@ def overwrite_json(df: DataFrame, path: str) -> None:
 
 
 def overwrite_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """CSV with a header; blanks around values are part of them and stay."""
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.mode("overwrite").options(header="true", **kept).csv(path)
 
 
 def overwrite_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:
     """Parquet with one folder per value combination of ``columns`` (none: plain Parquet).
 
-    Rows are not shuffled by the columns first: a value with a third of the rows
-    would then be written by one task.
+    Rows are rebalanced by the columns, so a value's rows meet in few tasks and
+    files; adaptive execution splits a value that is too big for one task.
     """
+    if columns:
+        df = df.hint("rebalance", *columns)
     df.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 

@@ -40,18 +40,3 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
 def run_sql(spark: SparkSession, query: str, **frames: DataFrame) -> DataFrame:
     """Run a query text; ``{name}`` in it stands for the DataFrame passed under that name."""
     return spark.sql(query, **frames)
-
-
-# At the default split size this is 2 GB.
-_SMALL_SPLITS = 16
-
-
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Use every core on a small input that has fewer splits than there are cores.
-
-    Meant for a file or two. Anything beyond a few splits stays exactly as
-    scanned: shuffling it would cost more than the idle cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores, *columns) if splits < cores and splits <= _SMALL_SPLITS else df

@@ -43,6 +43,9 @@ def test_clean_string_and_name(spark):
 
 
 def test_clean_date(spark):
+    lenient = texts(spark, "32/01/2018", "05/03/2018 10:00", "5/3/2018", "01/13/2018")
+    read = column(lenient, clean_date("v", "dd/MM/yyyy"))
+    assert read == [dt.date(2018, 2, 1), dt.date(2018, 3, 5), dt.date(2018, 3, 5), dt.date(2019, 1, 1)]
     df = texts(spark, "31/12/2018", "2018-12-31", "", None)
     unreadable = dt.date(7777, 1, 1)
     assert column(df, clean_date("v", "dd/MM/yyyy")) == [dt.date(2018, 12, 31), unreadable, unreadable, unreadable]

@@ -121,10 +121,11 @@ def test_directory(spark):
     )
     assert provider_tins(df).count() == 3
     assert plain(provider_tin_list(df)) == [
-        (10, "North", (("0-01", "a"), ("0-02", "b"))),
-        (11, "South", ((None, None),)),
+        (10, "North", 0, (("0-01", "a"), ("0-02", "b"))),
+        (11, "South", 0, ((None, None),)),
     ]
-    split = provider_tin_list(df, part_size=1).collect()
+    split = provider_tin_list(df, parts=4).collect()
+    assert all(0 <= r.Part < 4 for r in split)
     assert {r.ProviderKey for r in split} == {10, 11}
     assert sorted((e.TIN, e.TINNAME) for r in split for e in r.ALL if r.ProviderKey == 10) == [("0-01", "a"), ("0-02", "b")]
     users = spark.createDataFrame([(1, "North", "u", "ADMIN"), (2, "South", "v", None)], schemas.USER_ASSOCIATION)

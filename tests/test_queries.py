@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from claimweave.plans import oracle, registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -21,21 +22,21 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, duck, sf_dir, name):
-    df = driver.queries()[name](spark, sf_dir)
+    df = registry.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("Cartesian", "NestedLoop", "EvalPython", "MapInPandas"):
         assert unwanted not in plan
-    cursor = duck.execute(driver.oracle_sql()[name])
+    cursor = duck.execute(oracle.oracle_sql()[name])
     types = {d[0]: str(d[1]) for d in cursor.description}
     order = [d[0] for d in cursor.description]
     expected = cursor.fetchall()

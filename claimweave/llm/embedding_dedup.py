@@ -17,6 +17,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,14 +143,19 @@ def _tile_pairs(tiles: DataFrame, threshold: float, seed: int) -> DataFrame:
 
 
 def _exact(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    def cosines(a: pa.Array, b: pa.Array) -> np.ndarray:
+        sizes = pc.list_value_length(a)
+        if pc.min(sizes).as_py() == pc.max(sizes).as_py():  # as nearly always; else row by row
+            x, y = (c.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(a), -1) for c in (a, b))
+            x, y = x / np.abs(x).max(1, keepdims=True), y / np.abs(y).max(1, keepdims=True)
+            return (x * y).sum(1) / (np.linalg.norm(x, axis=1) * np.linalg.norm(y, axis=1))
+        return np.concatenate([cosines(a.slice(k, 1), b.slice(k, 1)) for k in range(len(a))])
+
     def decide(batches):
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("vector_a").to_pylist(), batch.column("vector_b").to_pylist(), strict=True):
-                a, b = np.asarray(a, np.float64), np.asarray(b, np.float64)
-                a, b = a / np.abs(a).max(), b / np.abs(b).max()
-                keep.append(bool(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= threshold))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+            if len(batch):
+                keep = cosines(batch.column("vector_a"), batch.column("vector_b")) >= threshold
+                yield batch.filter(pa.array(keep)).select(["a", "b"])
 
     def side(x):
         return vectors.select(F.col("id").alias(x), F.col("vector").alias(f"vector_{x}"), F.col("label").alias(f"label_{x}"))

@@ -32,7 +32,7 @@ _LONGEST = 256
 #: Rows of a matrix at most, so that a round's arrays stay small.
 _ROWS = 4096
 #: Distinct words of one generation that a worker remembers.
-_REMEMBERED = 500_000
+_REMEMBERED = 100_000
 _MODELS: dict[tuple[str, str], ByteBpe] = {}
 
 
@@ -209,18 +209,19 @@ class ByteBpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-#: Characters encoded together.
-_CHARS = 1_000_000
+#: Characters encoded together, and rows turned into Python strings together.
+_CHARS, _SLICE = 1_000_000, 256
 
 
-def _runs(texts: list[str | None]) -> Iterable[list[str | None]]:
+def _runs(column: pa.Array) -> Iterable[list[str | None]]:
     run, chars = [], 0
-    for text in texts:
-        run.append(text)
-        chars += len(text or "")
-        if chars >= _CHARS:
-            yield run
-            run, chars = [], 0
+    for first in range(0, len(column), _SLICE):
+        for text in column.slice(first, _SLICE).to_pylist():
+            run.append(text)
+            chars += len(text or "")
+            if chars >= _CHARS:
+                yield run
+                run, chars = [], 0
     if run:
         yield run
 
@@ -240,7 +241,7 @@ def encode_documents(
     def encode(batches):
         bpe = ByteBpe.load(ranks_path, pattern)
         for batch in batches:
-            ids = [x for run in _runs(batch.column(1).to_pylist()) for x in bpe.encode_batch(run)]
+            ids = [x for run in _runs(batch.column(1)) for x in bpe.encode_batch(run)]
             out = {"id": batch.column(0)} | ({"ids": pa.array(ids, pa.binary())} if with_ids else {})
             out["n_tokens"] = pa.array([len(x) // 4 for x in ids], pa.int64())
             out["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at once; longer documents form a chunk of their own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

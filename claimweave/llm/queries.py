@@ -31,8 +31,15 @@ _FOLDS, _HELD_OUT = 4, 2
 MIN_QUALITY = 0.7
 
 
+#: Rows of an Arrow batch unless the session was started with another number. Spark's default of 10,000
+#: whole texts takes tens of megabytes, several times over, in each task and its worker.
+_BATCH_ROWS, _BATCH_SETTING = 1_000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def reachable(spark: SparkSession) -> None:
-    """Let Python workers import this library too when the session was started outside of its folder."""
+    """Set the session up: workers can import this library wherever it was started, and batches of texts are small."""
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(_BATCH_ROWS))
     here = str(Path(__file__).resolve().parents[2])
     workers = spark.sparkContext.environment
     path = workers.get("PYTHONPATH", "")

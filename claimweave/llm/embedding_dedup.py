@@ -6,8 +6,11 @@ coordinates) and an 8-bit form of itself. The signs of one vector with the
 8-bit form of another, divided by the factor, estimate their inner product
 without bias, and the spread of that estimate is known from the factors. Bands
 of the code bits name tiles of vectors with equal labels; inside a tile, pairs
-whose estimate plus its confidence bound stays below the threshold are dropped,
-and all other pairs are computed exactly from the vectors.
+whose estimate plus its confidence bound stays below the threshold are dropped.
+Of the rest, the 8-bit forms prove most to be links or not, as their rounding is
+bounded; links proven in a tile are counted there and passed on as a spanning
+forest, so a group of many different near copies stays linear. Only pairs that
+are still open are computed exactly from the vectors.
 """
 
 from __future__ import annotations
@@ -31,6 +34,10 @@ _BAND_BITS, _BANDS = 16, 40
 _SIGMAS = 4.0
 #: Vectors of a tile that one task holds against each other; larger tiles are cut in blocks.
 _BLOCK = 512
+#: More than what 32-bit arithmetic adds to the error of an inner product of unit vectors.
+_FLOAT_ERROR = 1e-4
+#: What a vector takes along into a tile.
+_CARRIED = ("id", "code", "factors", "small", "side", "copies")
 
 
 @functools.lru_cache(maxsize=8)
@@ -88,8 +95,25 @@ def _estimates(code_a, factor_a, small_b, seed: int) -> tuple[np.ndarray, np.nda
     return weighted.reshape(len(signs), -1) @ turned.T, spread
 
 
-def _tile_pairs(tiles: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """Pairs that may reach the threshold, each from the first band that both share."""
+def _forest(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """The smallest row that each of ``n`` rows reaches over the links from ``x`` to ``y``."""
+    root = np.arange(n)
+    while True:
+        low, new = np.minimum(root[x], root[y]), root.copy()
+        np.minimum.at(new, root[x], low)
+        np.minimum.at(new, root[y], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def _tile_links(tiles: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """What the tiles know, each pair judged in the first band that both share.
+
+    Rows are ``(a, b, n)``: an open pair without ``n``; an edge of the forest of
+    proven links with ``n`` 0; or, without ``b``, the vectors that ``a`` is proven to link with.
+    """
     kind = tiles.schema["id"].dataType.simpleString()
 
     def pairs(rows: list[tuple], band: int, cross: bool):
@@ -97,37 +121,42 @@ def _tile_pairs(tiles: DataFrame, threshold: float, seed: int) -> DataFrame:
         side = np.array([r[4] for r in rows])
         packed = np.stack([np.frombuffer(r[1], np.uint8) for r in rows])
         small = np.stack([np.frombuffer(r[3], np.int8, offset=4) * np.frombuffer(r[3], np.float32, 1)[0] for r in rows])
+        copies = np.array([r[5] for r in rows], np.float64)
         dim = small.shape[1]
         factor = np.stack([np.frombuffer(r[2], np.float32) for r in rows])
         bits = np.unpackbits(packed, axis=1, count=factor.shape[1] * dim)
         words = packed[:, : _BAND_BITS * _BANDS // 8].reshape(len(rows), _BANDS, _BAND_BITS // 8)
         a, b = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if cross else (np.arange(len(rows)),) * 2
         if not len(a) or not len(b):
-            return [], []
+            return []
         guess, spread = _estimates(bits[a], factor[a], small[b], seed)
-        rounding = np.abs(small[b]).max(1) / 127 / 2 * np.sqrt(dim)  # most that the 8-bit form can be off
-        x, y = np.nonzero(guess + _SIGMAS * spread[:, None] + rounding[None, :] >= threshold)
+        rounding = np.abs(small).max(1) / 127 / 2 * np.sqrt(dim)  # most that the 8-bit form can be off
+        x, y = np.nonzero(guess + _SIGMAS * spread[:, None] + rounding[b][None, :] >= threshold)
+        near = (small[a] @ small[b].T)[x, y]
         x, y = a[x], b[y]
+        off = rounding[x] + rounding[y] + rounding[x] * rounding[y] + _FLOAT_ERROR
+        wanted = near + off >= threshold
         if not cross:
-            x, y = x[x < y], y[x < y]
-        same = (words[x] == words[y]).all(2)
-        keep = same.argmax(1) == band
-        return ids[x[keep]].tolist(), ids[y[keep]].tolist()
+            wanted &= x < y
+        x, y, proven = x[wanted], y[wanted], near[wanted] - off[wanted] >= threshold
+        first = (words[x] == words[y]).all(2).argmax(1) == band
+        x, y, proven = x[first], y[first], proven[first]
+        out = [(*sorted(p), None) for p in zip(ids[x[~proven]].tolist(), ids[y[~proven]].tolist(), strict=True)]
+        x, y = x[proven], y[proven]
+        linked = np.bincount(x, copies[y], len(rows)) + np.bincount(y, copies[x], len(rows))
+        root = _forest(x, y, len(rows))
+        out += [(ids[k], None, int(linked[k])) for k in np.flatnonzero(linked).tolist()]
+        return out + [(ids[k], ids[root[k]], 0) for k in np.flatnonzero(root != np.arange(len(rows))).tolist()]
 
     def compare(batches):
         at, held, arrow_kind = None, [], None
         for batch in batches:
-            out, arrow_kind = ([], []), batch.column("id").type
-
-            def close():
-                if len(held) > 1:
-                    x, y = pairs(held, at[0], at[2] != at[3])
-                    out[0].extend(x), out[1].extend(y)
-
-            columns = (batch.column(c).to_pylist() for c in ("band", "tile", "low", "high", "id", "code", "factors", "small", "side"))
+            out, arrow_kind = [], batch.column("id").type
+            columns = (batch.column(c).to_pylist() for c in ("band", "tile", "low", "high", *_CARRIED))
             for band, tile, low, high, *row in zip(*columns, strict=True):
                 if (band, tile, low, high) != at:
-                    close()
+                    if len(held) > 1:
+                        out += pairs(held, at[0], at[2] != at[3])
                     at, held = (band, tile, low, high), []
                 held.append(tuple(row))
             yield _table(out, arrow_kind)
@@ -135,11 +164,10 @@ def _tile_pairs(tiles: DataFrame, threshold: float, seed: int) -> DataFrame:
             yield _table(pairs(held, at[0], at[2] != at[3]), arrow_kind)
 
     def _table(out, arrow_kind):
-        low = [min(x, y) for x, y in zip(*out, strict=True)]
-        high = [max(x, y) for x, y in zip(*out, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(low, arrow_kind), pa.array(high, arrow_kind)], ["a", "b"])
+        a, b, n = zip(*out, strict=True) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, arrow_kind), pa.array(b, arrow_kind), pa.array(n, pa.int64())], ["a", "b", "n"])
 
-    return tiles.mapInArrow(compare, f"a {kind}, b {kind}")
+    return tiles.mapInArrow(compare, f"a {kind}, b {kind}, n long")
 
 
 def _exact(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -189,7 +217,7 @@ def embedding_dedup(
     coded = cut_lineage(_codes(base, seed))
     classes = coded.where("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     classes = cut_lineage(classes)
-    named = classes.where("rep is not null").select(F.col("rep").alias("id"), "key")
+    named = classes.where("rep is not null").select(F.col("rep").alias("id"), "key", "copies")
     reps = cut_lineage(coded.join(named, ["id", "key"]).dropDuplicates(["id"]))
 
     step = _BAND_BITS // 8
@@ -207,16 +235,17 @@ def embedding_dedup(
         F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
     )
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = placed.join(reps.select("id", "code", "factors", "small"), "id")
+    tiles = placed.join(reps.select("id", "code", "factors", "small", "copies"), "id")
     tiles = tiles.repartition(parts, "band", "tile", "low", "high").sortWithinPartitions("band", "tile", "low", "high", "id")
-    maybe = _tile_pairs(tiles, threshold, seed)
+    judged = cut_lineage(_tile_links(tiles, threshold, seed))
     originals = base.join(named.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    links = cut_lineage(_exact(maybe, originals, threshold))
+    links = cut_lineage(_exact(judged.where("n is null").select("a", "b"), originals, threshold))
 
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     weight = classes.select(F.col("rep").alias("b"), "copies")
-    near = both.join(weight, "b").groupBy("a").agg(F.sum("copies").alias("near"))
-    components = connected_components(links)
+    counted = both.join(weight, "b").select("a", F.col("copies").alias("n")).unionByName(judged.where("b is null").select("a", "n"))
+    near = counted.groupBy("a").agg(F.sum("n").alias("near"))
+    components = connected_components(links.unionByName(judged.where("n = 0").select("a", "b")))
     known = classes.join(near.withColumnRenamed("a", "rep"), "rep", "left")
     known = known.join(components.withColumnRenamed("node", "rep"), "rep", "left")
     known = known.select("key", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))

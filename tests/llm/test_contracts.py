@@ -104,6 +104,30 @@ def test_embeddings(spark, sf_dir):
     assert embedding_dedup.embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_a_large_group(spark, monkeypatch):
+    """Over a thousand different near copies, in several blocks, some of them twice: nearly all links are proven in the tiles."""
+    rng = np.random.default_rng(4)
+    centre = rng.normal(0, 1, 48)
+    made = [(i, [float(x) for x in centre + rng.normal(0, 0.05 + 0.0002 * i, 48)], 1) for i in range(1100)]
+    made += [(2000 + i, made[i][1], 1) for i in range(0, 50, 7)]
+    pairs, exact = [], embedding_dedup._exact
+    monkeypatch.setattr(embedding_dedup, "_exact", lambda p, *rest: (pairs.append(p), exact(p, *rest))[1])
+    df = spark.createDataFrame(made, "vec_id long, embedding array<double>, label int")
+    found = rows(embedding_dedup.embedding_dedup(df), "vec_id", "n_links", "component_id", "kept")
+    true = {r[0]: r for r in brute.embeddings(made)}
+    # No link too many; the bands may miss a pair that is barely above the threshold.
+    assert len(found) == len(true) and all(r[1] <= true[r[0]][1] and r[2:] == true[r[0]][2:] for r in found)
+    links = sum(r[1] for r in found) // 2
+    assert links >= 0.999 * sum(r[1] for r in true.values()) // 2 > 500_000
+    assert pairs[0].count() < links // 10
+
+
+def test_forest():
+    x, y = np.array([5, 1, 7, 2, 9]), np.array([1, 0, 2, 8, 7])
+    assert embedding_dedup._forest(x, y, 11).tolist() == [0, 0, 2, 3, 4, 0, 6, 2, 2, 2, 10]
+    assert embedding_dedup._forest(x[:0], y[:0], 2).tolist() == [0, 1]
+
+
 def test_decontamination(spark, sf_dir, docs, awkward):
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     table = pq.read_table(f"{sf_dir}/benchmark.parquet").to_pydict()

@@ -142,20 +142,33 @@ class Reconciliation:
 
     @cached_property
     def existing_tin(self) -> DataFrame:
-        """Known tax IDs with incoming attributes where there are any."""
-        old = self.existing.drop("refresh_date").distinct().alias("old")
-        new = (
-            self.incoming.select("tin", "mpin", "tinname", "health_system_id", "pcorname", "claimsthrudate")
-            .distinct()
-            .alias("new")
-        )
+        """Known tax IDs with incoming attributes where there are any.
+
+        The existing side is first reduced to what the result can show: an
+        attribute only for incoming rows that do not bring it themselves. So
+        existing variants that an incoming row overrides are not multiplied
+        with it.
+        """
         updated = ("mpin", "tinname", "health_system_id", "pcorname", "claimsthrudate")
+        # One bit per attribute that an incoming row leaves open.
+        missing = [F.when(F.col(c).isNull(), 1 << k).otherwise(0) for k, c in enumerate(updated)]
+        new = self.incoming.select("tin", *updated).distinct()
+        new = new.withColumn("_open", sum(missing[1:], missing[0]))
+        asked = new.select("tin", "_open").distinct()
+        shown = [
+            F.when(F.col("_open").bitwiseAND(F.lit(1 << updated.index(c))) != 0, F.col(c)).alias(c) if c in updated else F.col(c)
+            for c in LOOKUP_COLUMNS
+            if c != "refresh_date"
+        ]
+        old = self.existing.join(asked, "tin").select("_open", *shown).distinct().alias("old")
+        new = new.alias("new")
         columns = [
             (F.coalesce(f"new.{c}", f"old.{c}") if c in updated else F.col(f"old.{c}")).alias(c)
             for c in LOOKUP_COLUMNS
             if c != "refresh_date"
         ]
-        return self._keep(old.join(new, F.col("old.tin") == F.col("new.tin")).select(*columns).distinct())
+        same = (F.col("old.tin") == F.col("new.tin")) & (F.col("old._open") == F.col("new._open"))
+        return self._keep(old.join(new, same).select(*columns).distinct())
 
     @cached_property
     def tin_duplicates(self) -> DataFrame:

@@ -220,3 +220,19 @@ def test_every_incoming_tax_id_is_accounted_for(spark):
     keys = [(r["tin"], r["healthcareorganizationname"]) for r in merged]
     assert len(keys) == len(set(keys))
     assert [r["tin"] for r in rejected] == sorted(r["tin"] for r in rejected)
+
+
+def test_a_tax_id_with_many_variants_on_both_sides(spark):
+    """Existing variants that incoming rows override do not multiply them; open attributes still show every variant."""
+    old = spark.range(300).selectExpr(
+        "1 as tin", "cast(id as int) as mpin", "'name' as tinname", "'org' as healthcareorganizationname", "7 as providersyskey",
+        "1 as health_system_id", "'0-1' as formattedtin", "cast(id % 3 as string) as pcorname", "'x' as claimsthrudate", "'now' as refresh_date",
+    )
+    new = spark.range(300).selectExpr(
+        "1 as tin", "cast(1000 + id as int) as mpin", "'new' as tinname", "'org' as healthcareorganizationname",
+        "2 as health_system_id", "if(id < 10, null, 'p') as pcorname", "'y' as claimsthrudate",
+    )
+    found = Reconciliation(old, new, "2018-08-31 00:00:00").existing_tin
+    rows = Counter((r.mpin, r.pcorname) for r in found.collect())
+    wanted = [(1000 + i, p) for i in range(300) for p in (("0", "1", "2") if i < 10 else ("p",))]
+    assert rows == Counter(wanted)

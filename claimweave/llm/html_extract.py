@@ -7,9 +7,10 @@ every text is a slot. No alternatives are needed, so the wrapper stays one line.
 Each task aligns its own pages and the wrappers of the tasks are aligned again,
 so all pages of a host shape its wrapper, but no task ever holds them.
 
-A slot of the wrapper knows the elements around it and whether its text varies
-between pages. The article is what varies outside of menus, adverts, comments
-and the like; where a host marks articles, only slots inside them count.
+The wrapper decides which of its slots hold the article. Text that is the same
+from page to page is not the article's, and neither is what stands in menus,
+adverts, comments and the like. An article tag is one piece of evidence: slots in
+it are preferred as long as they hold most of what is left.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ import functools
 import html
 import json
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,6 +31,8 @@ from pyspark.sql import functions as F
 _BROADCAST_BYTES = 32_000_000
 #: Tokens of a wrapper's alignment at most; beyond that the rest of a stream is appended as optional.
 _ALIGNED = 400
+#: Pages whose changing slots hold less than this part (one in so many characters) of their text are copies of each other.
+_COPIES = 10
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -62,7 +67,7 @@ _MAIN_WORDS = frozenset(["main"])
 
 
 def _element(tag: str, attributes: str) -> tuple[str, str]:
-    """Shape of an element (tag, class and id words) and what it is: "", "outside", "header" or "main"."""
+    """Shape of an element (tag, class and id words, sign of what it is) and what it is: "", "outside", "header" or "main"."""
     words, hidden = [], False
     if attributes.strip():
         for name, *values in _NAMED.findall(attributes):
@@ -75,10 +80,12 @@ def _element(tag: str, attributes: str) -> tuple[str, str]:
                 hidden = True
     shape = ".".join([tag, *sorted(set(words))])
     if hidden or tag in _OUTSIDE_TAGS or _OUTSIDE_WORDS.intersection(words):
-        return shape, "outside"
+        return shape + "!", "outside"
     if tag in ("article", "main") or _MAIN_WORDS.intersection(words):
-        return shape, "main"
-    return shape, "header" if tag == "header" or _OUTSIDE_HEADERS.intersection(words) else ""
+        return shape + "*", "main"
+    if tag == "header" or _OUTSIDE_HEADERS.intersection(words):
+        return shape + "^", "header"
+    return shape, ""
 
 
 _element_cached = functools.lru_cache(maxsize=20_000)(_element)
@@ -141,46 +148,49 @@ def read_page(page: str) -> Iterator[tuple[str, tuple, str, bool]]:
 
 
 def _slot(path: tuple) -> str:
-    """The key of a text's slot: the block elements around it."""
-    return ">".join(shape for shape, _ in path if shape.split(".", 1)[0] not in _INLINE)
+    """The key of a text's slot: the block elements around it, and inline ones that mean something."""
+    return ">".join(shape for shape, what in path if what or shape.split(".", 1)[0] not in _INLINE)
 
 
-def _kind(path: tuple) -> str:
-    """Where a text stands: "outside", "main" or ""."""
-    inside = False
-    for _, what in path:
-        if what == "outside" or what == "header" and not inside:
-            return "outside"
-        inside = inside or what == "main"
-    return "main" if inside else ""
+def _standing(slot: str) -> tuple[bool, list[str]]:
+    """Whether a slot is inside an article mark, and the outside elements around it, outermost first."""
+    inside, barriers, parts = False, [], slot.split(">")
+    for k, part in enumerate(parts):
+        if part.endswith("!") or part.endswith("^") and not inside:
+            barriers.append(">".join(parts[: k + 1]))
+        inside = inside or part.endswith("*")
+    return inside, barriers
 
 
 def page_stream(page: str) -> list[list]:
-    """Tokens of a page, [slot, kind, text hash, repeated], with runs of equal slots folded."""
-    folded: list[list] = []
-    seen: dict[str, list] = {}
+    """Tokens of a page, [slot, hash of its texts, repeated, characters], with runs of equal slots folded."""
+    folded: dict[str, list] = {}
     for event, path, text, _ in read_page(page):
         if event != "#" or not text.strip():
             continue
         slot = _slot(path)
-        mark = hash_text(text)
-        if slot in seen:  # the group around the first one repeats
-            seen[slot][2] = None if seen[slot][2] != mark else mark
-            seen[slot][3] = True
+        if slot in folded:  # the group around the first one repeats
+            token = folded[slot]
+            token[1], token[2] = hash_text(text, token[1]), True
+            token[3] += len(text)
         else:
-            seen[slot] = [slot, _kind(path), mark, False]
-            folded.append(seen[slot])
-    return folded
+            folded[slot] = [slot, hash_text(text), False, len(text)]
+    return list(folded.values())
 
 
-def hash_text(text: str) -> int:
-    import zlib
+def hash_text(text: str, before: int = 0) -> int:
+    return zlib.crc32((" ".join(text.split()) + "\n").encode("utf-8", "replace"), before)
 
-    return zlib.crc32(" ".join(text.split()).encode("utf-8", "replace"))
+
+def page_wrapper(page: str) -> dict:
+    """The wrapper of one page."""
+    return {"pages": 1, "tokens": [[*token, 1] for token in page_stream(page)]}
 
 
 def align(wrapper: dict, stream: dict) -> dict:
-    """Align two wrappers {"pages", "tokens": [[slot, kind, mark, repeated, pages with it], ...]}.
+    """Align two wrappers {"pages", "tokens": [[slot, mark, repeated, characters, pages with it], ...]}.
+
+    ``mark`` is the hash of the slot's texts, None when pages differ in them.
 
     Tokens of both, in the order of a longest common subsequence, with the rest
     of either in between as optional (their count of pages falls short).
@@ -197,7 +207,7 @@ def align(wrapper: dict, stream: dict) -> dict:
     for slot in order:
         x, y = index_a.get(slot), index_b.get(slot)
         if x and y:
-            tokens.append([slot, x[1], x[2] if x[2] == y[2] else None, x[3] or y[3], x[4] + y[4]])
+            tokens.append([slot, x[1] if x[1] == y[1] else None, x[2] or y[2], x[3] + y[3], x[4] + y[4]])
         else:
             tokens.append(list(x or y))
     return {"pages": wrapper["pages"] + stream["pages"], "tokens": tokens}
@@ -223,16 +233,6 @@ def _merge_order(a: list[str], b: list[str]) -> list[str]:
     return out + a[i:] + b[j:]
 
 
-def as_regex(wrapper: dict) -> str:
-    """The wrapper as a readable union-free expression: ``(slot #)?`` optional, ``(slot #)+`` repeated."""
-    parts = []
-    for slot, _, mark, repeated, pages in wrapper["tokens"]:
-        text = "text" if mark is not None and wrapper["pages"] > 1 else "#"
-        sign = {(True, True): "*", (True, False): "+", (False, True): "?"}.get((repeated, pages < wrapper["pages"]), "")
-        parts.append(f"({slot} {text}){sign}")
-    return " ".join(parts)
-
-
 def infer_wrappers(pages: DataFrame, host: str = "host", html_col: str = "html") -> DataFrame:
     """``(host, wrapper)`` with the wrapper as JSON, from all pages of each host."""
 
@@ -240,7 +240,7 @@ def infer_wrappers(pages: DataFrame, host: str = "host", html_col: str = "html")
         known: dict[str, dict] = {}
         for batch in batches:
             for name, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                one = {"pages": 1, "tokens": [[*t, 1] for t in page_stream(page or "")]}
+                one = page_wrapper(page or "")
                 known[name] = align(known[name], one) if name in known else one
             if len(known) > 10_000:  # hosts of one task; what is sent early is aligned later
                 yield _wrapper_rows(known)
@@ -270,50 +270,68 @@ def _wrapper_rows(known: dict[str, dict]) -> pa.RecordBatch:
     )
 
 
+def _boilerplate(token: list, pages: int) -> bool:
+    """Whether a slot's text is the same from page to page."""
+    return token[1] is not None and pages > 1
+
+
+def _changing(tokens: list[list], pages: int) -> list[list]:
+    """Tokens without the constant ones; all of them if hardly anything is left, as then the pages are copies."""
+    left = [t for t in tokens if not _boilerplate(t, pages)]
+    return left if _size(left) * _COPIES >= _size(tokens) else tokens
+
+
+def _size(tokens: list[list]) -> int:
+    return sum(t[3] for t in tokens)
+
+
 @functools.lru_cache(maxsize=2000)
-def _content_slots(wrapper: str) -> tuple[bool, frozenset]:
-    """Whether the host marks articles, and the slots outside of marks that may hold one."""
+def _content_slots(wrapper: str) -> list[frozenset]:
+    """The slots that hold the article, then those to take from pages that have none of them."""
     spec = json.loads(wrapper)
-    marked = any(t[1] == "main" for t in spec["tokens"])
-    free = [t for t in spec["tokens"] if not t[1]]
-    varying = [t for t in free if t[2] is None or spec["pages"] == 1]
-    return marked, frozenset(t[0] for t in varying or free)
+    pages = spec["pages"]
+    marked, free = [], []
+    for token in spec["tokens"]:
+        inside, barriers = _standing(token[0])
+        if not barriers:
+            (marked if inside else free).append(token)
+    best, others = _changing(marked, pages), _changing(free, pages)
+    if _size(best) < _size(others):  # the marks are around something else, or around a part
+        best = _changing(marked + free, pages)
+    return [frozenset(t[0] for t in level) for level in (best, others, marked + free)]
 
 
 def main_text(page: str | None, wrapper: str | None) -> str:
     """The article of one page under its host's wrapper.
 
-    A page without the mark that its host otherwise has falls back to the slots
-    whose text varies, and if there are none to all text that is not outside.
+    A page without the slots that hold the article on its host falls back to the
+    other slots whose text varies, and if there are none to all text that is not outside.
     """
     if not page:
         return ""
-    _, varying = _content_slots(wrapper) if wrapper else (False, frozenset())
-    blocks: dict[str, list[str]] = {"main": [], "varying": [], "": []}
-    open_: dict[str, list[str]] = {k: [] for k in blocks}
+    levels = _content_slots(wrapper or json.dumps(page_wrapper(page)))
+    blocks: list[list[str]] = [[] for _ in levels]
+    open_: list[list[str]] = [[] for _ in levels]
 
     def close():
-        for k, parts in open_.items():
+        for parts, done in zip(open_, blocks, strict=True):
             if parts:
                 text = " ".join(html.unescape("".join(parts)).split())
                 if text:
-                    blocks[k].append(text)
-                open_[k] = []
+                    done.append(text)
+                parts.clear()
 
     for event, path, text, breaks in read_page(page):
         if event != "#":
             if breaks:
                 close()
             continue
-        kind = _kind(path)
-        if kind == "main":
-            open_["main"].append(text)
-        elif not kind:
-            open_[""].append(text)
-            if _slot(path) in varying:
-                open_["varying"].append(text)
+        slot, blank = _slot(path), not text.strip()
+        for parts, level in zip(open_, levels, strict=True):
+            if blank or slot in level:
+                parts.append(text)
     close()
-    return " ".join(blocks["main"] or blocks["varying"] or blocks[""])
+    return " ".join(next((done for done in blocks if done), []))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

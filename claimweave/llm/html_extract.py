@@ -64,26 +64,39 @@ _OUTSIDE_WORDS = frozenset(
 #: The same, but fine inside an article.
 _OUTSIDE_HEADERS = frozenset("header masthead topbar".split())
 _MAIN_WORDS = frozenset(["main"])
+#: Elements around whole pages or articles, which are never outside by a word of theirs.
+_WHOLE = frozenset("html body article main".split())
+#: Words that turn the next ones of a name into a remark on the page: no-comments, has-sidebar.
+_REMARKS = frozenset("no non not has have with without hide hidden show is enable enabled disable disabled supports".split())
 
 
 def _element(tag: str, attributes: str) -> tuple[str, str]:
-    """Shape of an element (tag, class and id words, sign of what it is) and what it is: "", "outside", "header" or "main"."""
-    words, hidden = [], False
+    """Shape of an element (tag, class and id words, sign of what it is) and what it is.
+
+    "", "main", "outside" (by its tag, or hidden), "header", or "likely outside" (by a word, or a form), which the wrapper may overrule.
+    """
+    words, own, hidden = [], set(), False
     if attributes.strip():
         for name, *values in _NAMED.findall(attributes):
             value, name = "".join(values), name.lower()
             if name in ("class", "id", "role"):
-                words += [w.lower() for w in _PART.findall(value) if not w.isdigit()]
+                for one in value.split():
+                    parts = [w.lower() for w in _PART.findall(one) if not w.isdigit()]
+                    words += parts
+                    own.update(parts if not parts or parts[0] not in _REMARKS else ())
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 hidden = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 hidden = True
     shape = ".".join([tag, *sorted(set(words))])
-    if hidden or tag in _OUTSIDE_TAGS or _OUTSIDE_WORDS.intersection(words):
-        return shape + "!", "outside"
-    if tag in ("article", "main") or _MAIN_WORDS.intersection(words):
+    if tag not in _WHOLE:
+        if hidden or tag in _OUTSIDE_TAGS and tag != "form":
+            return shape + "!", "outside"
+        if tag == "form" or _OUTSIDE_WORDS.intersection(own):
+            return shape + "?", "likely outside"
+    if tag in ("article", "main") or tag not in _WHOLE and _MAIN_WORDS.intersection(own):
         return shape + "*", "main"
-    if tag == "header" or _OUTSIDE_HEADERS.intersection(words):
+    if tag not in _WHOLE and (tag == "header" or _OUTSIDE_HEADERS.intersection(own)):
         return shape + "^", "header"
     return shape, ""
 
@@ -152,14 +165,15 @@ def _slot(path: tuple) -> str:
     return ">".join(shape for shape, what in path if what or shape.split(".", 1)[0] not in _INLINE)
 
 
-def _standing(slot: str) -> tuple[bool, list[str]]:
-    """Whether a slot is inside an article mark, and the outside elements around it, outermost first."""
-    inside, barriers, parts = False, [], slot.split(">")
+def _standing(slot: str) -> tuple[bool, list[str], bool]:
+    """Whether a slot is in an article mark, the outside elements around it (outermost first), and whether all of them contain the mark."""
+    inside, barriers, around, parts = False, [], True, slot.split(">")
     for k, part in enumerate(parts):
-        if part.endswith("!") or part.endswith("^") and not inside:
+        if part[-1:] in ("!", "?") or part.endswith("^") and not inside:
             barriers.append(">".join(parts[: k + 1]))
+            around = not inside
         inside = inside or part.endswith("*")
-    return inside, barriers
+    return inside, barriers, inside and around
 
 
 def page_stream(page: str) -> list[list]:
@@ -290,15 +304,44 @@ def _content_slots(wrapper: str) -> list[frozenset]:
     """The slots that hold the article, then those to take from pages that have none of them."""
     spec = json.loads(wrapper)
     pages = spec["pages"]
-    marked, free = [], []
+    marked, free, within, likely = [], [], [], []
     for token in spec["tokens"]:
-        inside, barriers = _standing(token[0])
+        inside, barriers, around = _standing(token[0])
         if not barriers:
             (marked if inside else free).append(token)
+        elif around:
+            within.append(token)  # in an article that outside elements contain
+        elif all(b[-1] == "?" for b in barriers):
+            likely.append(token)
     best, others = _changing(marked, pages), _changing(free, pages)
     if _size(best) < _size(others):  # the marks are around something else, or around a part
         best = _changing(marked + free, pages)
-    return [frozenset(t[0] for t in level) for level in (best, others, marked + free)]
+    levels = [best, others, marked + free]
+    if not marked:  # no article but those that outside elements contain, or elements that look outside by a word of theirs
+        held = _changing(within, pages)
+        if _size(held) > _size(best):
+            levels = [held, *levels]
+        elif not held:
+            held = _wrapped(likely, pages)
+            if _size(held) > _size(best) * _COPIES:
+                levels = [_changing(free + held, pages), *levels]
+    return [frozenset(t[0] for t in level) for level in levels]
+
+
+def _wrapped(tokens: list[list], pages: int) -> list[list]:
+    """What holds the article if only elements that look outside hold text: the largest is none, and so on inwards.
+
+    Only that element is cleared; those inside it, adverts say, are judged as anywhere.
+    """
+    tokens = _changing(tokens, pages)
+    left = [(t, _standing(t[0])[1]) for t in tokens]
+    while left and all(barriers for _, barriers in left):
+        sizes = Counter()
+        for token, barriers in left:
+            sizes[barriers[0]] += token[3]
+        largest = sizes.most_common(1)[0][0]
+        left = [(t, barriers[1:]) for t, barriers in left if barriers[0] == largest]
+    return [t for t, barriers in left if not barriers]
 
 
 def main_text(page: str | None, wrapper: str | None) -> str:

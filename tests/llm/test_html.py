@@ -71,3 +71,30 @@ def test_the_wrapper_decides(spark):
     assert found["teasers.example"] == [f"card {k} {words(k)}" for k in range(5)]  # the tag holds less than the rest
     assert found["same.example"] == [words(k) for k in range(5)]  # constant, though in the tag
     assert found["menu.example"] == [f"{words(k)} {words(-k)}" for k in range(5)]  # repeated, but constant as a whole
+
+
+def test_words_around_whole_articles(spark):
+    inner = "<nav>menu {0}</nav><div class=ad>buy {0}</div>"
+    article = inner + "<article class='post widget'><p>{1}</p><div class=comments><article class=comment>no {1}</article></div></article>"
+    plain = inner + "<h1>about {0}</h1><p>{1}</p>"
+    made = {
+        "a.example": "<body class='has-sidebar'>" + article + "</body>",
+        "b.example": "<body><div class='page no-comments'>" + article + "</div></body>",
+        "c.example": "<body><form id='aspnetForm'>" + article + "</form></body>",
+        "d.example": "<body><div class='content-sidebar-wrap'>" + article + "</div><aside><article>other {0}</article></aside></body>",
+        "e.example": "<body class='ad widget'>" + plain + "</body>",
+        "f.example": "<body><div class='page no-comments'>" + plain + "</div></body>",
+        "g.example": "<body><form id='aspnetForm'>" + plain + "</form></body>",
+        "h.example": "<body><div class='content-sidebar-wrap'>" + plain + "</div><p>{0}</p></body>",
+        "i.example": "<body><nav>menu {0}</nav><footer>{1}</footer></body>",
+    }
+    pages = {host: [page.format(k, words(k)) for k in range(4)] for host, page in made.items()}
+    pages["alone.example"] = [made["g.example"].format(0, words(0))]
+    found = texts(spark, pages)
+    for host in ("a.example", "b.example", "c.example"):
+        assert found[host] == [words(k) for k in range(4)], host
+    assert all(t.startswith(words(k)) for k, t in enumerate(found["d.example"]))
+    for host in ("e.example", "f.example", "g.example", "alone.example"):
+        assert found[host] == [f"about {k} {words(k)}" for k in range(len(pages[host]))], host
+    assert found["h.example"] == [f"about {k} {words(k)} {k}" for k in range(4)]
+    assert found["i.example"] == [""] * 4

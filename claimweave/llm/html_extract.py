@@ -33,6 +33,8 @@ _BROADCAST_BYTES = 32_000_000
 _ALIGNED = 400
 #: Pages whose changing slots hold less than this part (one in so many characters) of their text are copies of each other.
 _COPIES = 10
+#: Different pages that must agree in a text before it counts as constant, elsewhere and inside an article mark.
+_PROOF, _PROOF_MARKED = 2, 4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
@@ -198,13 +200,16 @@ def hash_text(text: str, before: int = 0) -> int:
 
 def page_wrapper(page: str) -> dict:
     """The wrapper of one page."""
-    return {"pages": 1, "tokens": [[*token, 1] for token in page_stream(page)]}
+    tokens = page_stream(page)
+    whole = zlib.crc32(repr([t[:2] for t in tokens]).encode("utf-8", "replace"))
+    return {"pages": 1, "tokens": [[*token, 1, [whole]] for token in tokens]}
 
 
 def align(wrapper: dict, stream: dict) -> dict:
-    """Align two wrappers {"pages", "tokens": [[slot, mark, repeated, characters, pages with it], ...]}.
+    """Align two wrappers {"pages", "tokens": [[slot, mark, repeated, characters, pages with it, some pages], ...]}.
 
-    ``mark`` is the hash of the slot's texts, None when pages differ in them.
+    ``mark`` is the hash of the slot's texts, None when pages differ in them; ``some
+    pages`` are the hashes of the first different pages with it, as many as prove a constant.
 
     Tokens of both, in the order of a longest common subsequence, with the rest
     of either in between as optional (their count of pages falls short).
@@ -221,7 +226,7 @@ def align(wrapper: dict, stream: dict) -> dict:
     for slot in order:
         x, y = index_a.get(slot), index_b.get(slot)
         if x and y:
-            tokens.append([slot, x[1] if x[1] == y[1] else None, x[2] or y[2], x[3] + y[3], x[4] + y[4]])
+            tokens.append([slot, x[1] if x[1] == y[1] else None, x[2] or y[2], x[3] + y[3], x[4] + y[4], sorted({*x[5], *y[5]})[:_PROOF_MARKED]])
         else:
             tokens.append(list(x or y))
     return {"pages": wrapper["pages"] + stream["pages"], "tokens": tokens}
@@ -285,8 +290,9 @@ def _wrapper_rows(known: dict[str, dict]) -> pa.RecordBatch:
 
 
 def _boilerplate(token: list, pages: int) -> bool:
-    """Whether a slot's text is the same from page to page."""
-    return token[1] is not None and pages > 1
+    """Whether a slot was seen with the same text on several different pages, and on most of the host's."""
+    proof = _PROOF_MARKED if _standing(token[0])[0] else _PROOF
+    return token[1] is not None and len(token[5]) >= proof and token[4] * 2 > pages
 
 
 def _changing(tokens: list[list], pages: int) -> list[list]:

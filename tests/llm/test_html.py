@@ -98,3 +98,24 @@ def test_words_around_whole_articles(spark):
         assert found[host] == [f"about {k} {words(k)}" for k in range(len(pages[host]))], host
     assert found["h.example"] == [f"about {k} {words(k)} {k}" for k in range(4)]
     assert found["i.example"] == [""] * 4
+
+
+def test_text_of_one_page_is_kept(spark):
+    plain = "<body><p class=slogan>Read us daily</p><div class=text><h1>{}</h1>{}<p>{}</p></div></body>"
+    extra = "<blockquote>said once</blockquote><ul><li>first<li>second</ul><table><tr><td>cell</table>"
+    dated = "<body><div class=date>day {}</div><div class=text><p>" + words(0) + "</p></div></body>"
+    copied = plain.format("one", extra, words(1))
+    found = texts(
+        spark,
+        {
+            "once.example": [plain.format(f"title {k}", extra if k == 2 else "", words(k)) for k in range(5)],
+            "two.example": [plain.format(f"title {k}", extra if k else "", words(k)) for k in range(2)],
+            "copied.example": [copied, copied, plain.format("other", "", words(2))],
+            "dated.example": [dated.format(k) for k in range(5)],
+        },
+    )
+    said = "said once first second cell"
+    assert found["once.example"] == [f"title {k} {said + ' ' if k == 2 else ''}{words(k)}" for k in range(5)]
+    assert found["two.example"] == [f"title 0 {words(0)}", f"title 1 {said} {words(1)}"]
+    assert found["copied.example"] == [f"one {said} {words(1)}"] * 2 + [f"other {words(2)}"]
+    assert found["dated.example"] == [f"day {k} {words(0)}" for k in range(5)]

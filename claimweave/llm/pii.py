@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,8 +37,8 @@ _DIGIT = re.compile(r"[0-9]")
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 #: Digits and characters that an identifier-shaped token has.
 _MIN_DIGITS, _MIN_CHARS, _MAX_CHARS = 4, 6, 64
-#: Patterns that are broadcast at most: a bound on the size of the model.
-MAX_PATTERNS = 500_000
+#: Patterns that are broadcast at most; more are joined by a shuffle, with the same result.
+BROADCAST_PATTERNS = 500_000
 
 
 def _luhn(digits: str) -> bool:
@@ -164,46 +165,75 @@ def _graph(docs: DataFrame) -> DataFrame:
     return found.groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n"))
 
 
-def _totals(docs: DataFrame, patterns: np.ndarray) -> DataFrame:
-    """How often each pattern occurs before any word, over all documents."""
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(patterns))
-
-    def count(batches):
-        known = wanted.value
+def _totals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """How often each pattern of ``wanted`` occurs before any word, over all documents."""
+    few = wanted.count() <= BROADCAST_PATTERNS
+    patterns = wanted.toPandas()["pattern"].to_numpy(np.int64) if few else np.empty(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(np.sort(patterns))
+
+    def runs_of(column):
+        for _, data, offsets in text_buffers(column):
+            words, firsts = word_hashes(data, offsets, BLANKS, lower=True)
+            last = np.zeros(len(words), bool)
+            last[firsts[1:][firsts[1:] > firsts[:-1]] - 1] = True
+            inside = ~last[:-1]  # runs of two must not cross documents
+            yield run_hashes(words, 1)[~last].view(np.int64)
+            if len(words) > 1:
+                yield run_hashes(words, 2)[inside & ~last[1:]].view(np.int64)
+
+    def count_known(batches):
+        known = shared.value
         sums = np.zeros(len(known), np.int64)
         for batch in batches:
-            for _, data, offsets in text_buffers(batch.column(0)):
-                words, firsts = word_hashes(data, offsets, BLANKS, lower=True)
-                last = np.zeros(len(words), bool)
-                last[firsts[1:][firsts[1:] > firsts[:-1]] - 1] = True
-                inside = ~last[:-1]  # runs of two must not cross documents
-                for runs in (run_hashes(words, 1)[~last], run_hashes(words, 2)[inside & ~last[1:]] if len(words) > 1 else None):
-                    if runs is None or not len(known):
-                        continue
-                    runs = runs.view(np.int64)
+            for runs in runs_of(batch.column(0)):
+                if len(known):
                     at = np.minimum(np.searchsorted(known, runs), len(known) - 1)
                     sums += np.bincount(at[known[at] == runs], minlength=len(known))
         seen = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(known[seen]), pa.array(sums[seen])], ["pattern", "total"])
 
-    return docs.mapInArrow(count, "pattern long, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    def count_all(batches):
+        for batch in batches:
+            for runs in runs_of(batch.column(0)):
+                seen, sums = np.unique(runs, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums.astype(np.int64))], ["pattern", "total"])
+
+    found = docs.mapInArrow(count_known if few else count_all, "pattern long, total long")
+    if not few:
+        found = found.join(wanted, "pattern", "left_semi")
+    return found.groupBy("pattern").agg(F.sum("total").alias("total"))
+
+
+def _known(graph: DataFrame) -> DataFrame:
+    return graph.where("kind is not null").select("instance", F.col("kind").alias("as_kind")).distinct()
+
+
+def _reachable(graph: DataFrame, rounds: int, support: int) -> DataFrame:
+    """Patterns that could count in any round, whatever their totals: enough known instances follow them."""
+    known, able, size = _known(graph), None, -1
+    for _ in range(rounds):
+        hits = graph.join(known, "instance").groupBy("pattern", "as_kind").agg(F.count_distinct("instance").alias("instances"))
+        able = cut_lineage(hits.where(F.col("instances") >= support).select("pattern", "as_kind"))
+        before, size = size, able.count()
+        if size == before:  # the sets only grow
+            break
+        new = graph.where("kind is null").join(able, "pattern").select("instance", "as_kind")
+        known = cut_lineage(known.unionByName(new).distinct())
+    return able.select("pattern").distinct()
+
 
+def bootstrap(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.6) -> dict[int, str] | DataFrame:
+    """Patterns that count, with the kind of most of their known instances; ``docs`` has text alone.
 
-def bootstrap(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.6) -> dict[int, str]:
-    """Patterns that count, with the kind of most of their known instances; ``docs`` has text alone."""
+    More of them than a broadcast may hold stay a table (pattern, as_kind).
+    """
     graph = cut_lineage(_graph(docs))
-    # A pattern needs that many distinct instances of any sort to count in any round.
-    able = graph.groupBy("pattern").agg(F.count_distinct("instance").alias("all"), F.max("kind").alias("seeded")).where(f"all >= {support}")
-    able = cut_lineage(able.select("pattern"))
-    if able.count() > MAX_PATTERNS:
-        strongest = graph.join(able, "pattern").groupBy("pattern").agg(F.count_distinct("instance").alias("all"))
-        able = cut_lineage(strongest.orderBy(F.desc("all"), "pattern").limit(MAX_PATTERNS).select("pattern"))
-    wanted = able.toPandas()["pattern"].to_numpy(np.int64)
-    if not len(wanted):
+    wanted = cut_lineage(_reachable(graph, rounds, support))
+    if wanted.isEmpty():
         return {}
     totals = cut_lineage(_totals(docs, wanted))
     graph = cut_lineage(graph.join(totals, "pattern"))
-    known = graph.where("kind is not null").select("instance", F.col("kind").alias("as_kind")).distinct()
+    known = _known(graph)
     accepted = None
     for _ in range(rounds):
         hits = graph.join(known, "instance").groupBy("pattern", "as_kind", "total")
@@ -215,7 +245,29 @@ def bootstrap(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: fl
             break
         new = graph.where("kind is null").join(accepted, "pattern").select("instance", "as_kind")
         known = cut_lineage(known.unionByName(new).distinct())
-    return {row[0]: row[1] for row in accepted.collect()}  # at most MAX_PATTERNS
+    if accepted.count() > BROADCAST_PATTERNS:
+        return accepted
+    return {row[0]: row[1] for row in accepted.collect()}
+
+
+def _with_learned(docs: DataFrame, text_col: str, accepted: DataFrame, name: str) -> DataFrame:
+    """``docs`` and, as ``name``, those patterns of ``accepted`` that occur before tokens of the row's text."""
+
+    def needs(batches):
+        for batch in batches:
+            keys, owned = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = {p for s, _ in other_tokens(text, base_spans(text)) for p in _patterns(text, s)}
+                keys += [key] * len(found)
+                owned += found
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(_pattern_hashes(owned))], ["key", "pattern"])
+
+    key = F.sha2(F.col(text_col), 256)
+    texts = docs.where(F.col(text_col) != "").select(key.alias("key"), F.col(text_col).alias("text"))
+    needed = texts.mapInArrow(needs, "key string, pattern long").distinct()
+    learned = needed.join(accepted, "pattern").groupBy("key").agg(F.collect_list(F.struct("pattern", "as_kind")).alias(name))
+    learned = cut_lineage(learned.withColumnRenamed("key", f"{name}_key"))
+    return docs.join(learned, key == F.col(f"{name}_key"), "left").drop(f"{name}_key")
 
 
 def _all_spans(text: str, patterns: dict[int, str]) -> tuple[list, list]:
@@ -241,7 +293,7 @@ def find_pii(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    patterns: dict[int, str] | None = None,
+    patterns: dict[int, str] | DataFrame | None = None,
     redact: bool = False,
 ) -> DataFrame:
     """Spans of personal data per row: (id, n_email, n_ip, n_card, n_phone, base_sha256, spans).
@@ -257,13 +309,23 @@ def find_pii(
     """
     if patterns is None:
         patterns = bootstrap(docs.select(F.col(text_col).alias("text")))
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
-
-    def mask(text):
+    columns, schema = docs.columns, docs.schema
+    joined = isinstance(patterns, DataFrame)
+    if joined:
+        docs = _with_learned(docs, text_col, patterns, learned := f"learned_{uuid.uuid4().hex}")
+    shared = docs.sparkSession.sparkContext.broadcast({} if joined else patterns)
+
+    def learned_of(batch):
+        """The patterns to look for, row by row."""
+        if not joined:
+            return [shared.value] * batch.num_rows
+        return [{p["pattern"]: p["as_kind"] for p in found or ()} for found in batch.column(batch.num_columns - 1).to_pylist()]
+
+    def mask(text, known):
         if not text:
             return text
         out, at = [], 0
-        for start, end, kind in _all_spans(text, shared.value)[1]:
+        for start, end, kind in _all_spans(text, known)[1]:
             if start >= at:
                 out += [text[at:start], f"[{kind}]"]
             at = max(at, end)
@@ -272,14 +334,16 @@ def find_pii(
     def hide(batches):
         place = columns.index(text_col)
         for batch in batches:
-            hidden = pa.array([mask(t) for t in batch.column(place).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([hidden if k == place else c for k, c in enumerate(batch.columns)], columns)
+            texts = batch.column(place).to_pylist()
+            hidden = pa.array([mask(t, known) for t, known in zip(texts, learned_of(batch), strict=True)], pa.string())
+            kept = batch.columns[: len(columns)]
+            yield pa.RecordBatch.from_arrays([hidden if k == place else c for k, c in enumerate(kept)], columns)
 
     def spans(batches):
         for batch in batches:
             counts, shas, spelled = [[] for _ in KINDS], [], []
-            for text in batch.column(1).to_pylist():
-                base, every = _all_spans(text or "", shared.value)
+            for text, known in zip(batch.column(1).to_pylist(), learned_of(batch), strict=True):
+                base, every = _all_spans(text or "", known)
                 for k, kind in enumerate(KINDS):
                     counts[k].append(sum(s[2] == kind for s in base))
                 shas.append(hashlib.sha256(_spelled(base).encode()).hexdigest()), spelled.append(_spelled(every))
@@ -289,9 +353,8 @@ def find_pii(
             )
 
     if redact:
-        columns = docs.columns
-        return docs.mapInArrow(hide, docs.schema)
-    kind = docs.schema[id_col].dataType.simpleString()
+        return docs.mapInArrow(hide, schema)
+    kind = schema[id_col].dataType.simpleString()
     schema = f"id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([learned] if joined else []))
     return base.mapInArrow(spans, schema).withColumnRenamed("id", id_col)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.hashing import BLANKS, run_hashes, text_buffers, word_hashes
+from claimweave.llm.hashing import NOT_ALNUM, run_hashes, text_buffers, word_hashes
 from claimweave.storage import cut_lineage
 
 #: Kinds in the order that breaks ties between spans with equal starts.
@@ -36,7 +36,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
 #: Digits and characters that an identifier-shaped token has.
-_MIN_DIGITS, _MIN_CHARS, _MAX_CHARS = 4, 6, 64
+_MIN_DIGITS, _MIN_CHARS = 4, 6
+#: A label that is glued to the token it names, as in tel:0049-17-2345, but not the scheme of an address.
+_LABEL = re.compile(r"[A-Za-z_-]+[:=](?!//)")
+#: Words of patterns, as NOT_ALNUM cuts them in whole texts.
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 #: Patterns that are broadcast at most; more are joined by a shuffle, with the same result.
 BROADCAST_PATTERNS = 500_000
 
@@ -100,18 +104,31 @@ def other_tokens(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[
             stop -= 1
         while start < stop and text[start] in _EDGES:
             start += 1
+        label = _LABEL.match(text, start, stop)
+        if label:
+            start = label.end()
+            while start < stop and text[start] in _EDGES:
+                start += 1
         while k < len(covers) and covers[k][1] <= start:
             k += 1
         clear = k == len(covers) or covers[k][0] >= stop
-        if clear and _MIN_CHARS <= stop - start <= _MAX_CHARS and sum("0" <= c <= "9" for c in text[start:stop]) >= _MIN_DIGITS:
+        if clear and stop - start >= _MIN_CHARS and sum("0" <= c <= "9" for c in text[start:stop]) >= _MIN_DIGITS:
             yield start, stop
         m = _DIGIT.search(text, end)
 
 
 def _before(text: str, start: int) -> bytes | None:
-    """The two words before ``start`` on its line's run of text, lower-cased; None without any."""
-    left = text[max(0, start - 80) : start].split()
-    return " ".join(left[-2:]).encode().lower() if left else None
+    """The two words before ``start``, lower-cased; None without any. A word that runs on into the entity is none."""
+    glued = 0 < start < len(text) and _WORD.fullmatch(text, start - 1, start + 1) is not None
+    size = 80
+    while True:
+        at = max(0, start - size)
+        left = _WORD.findall(text, at, start)
+        if at == 0 or len(left) > 2 + glued:  # the first one may have been cut
+            break
+        size *= 4
+    left = left[: len(left) - glued][-2:]
+    return " ".join(left).encode().lower() if left else None
 
 
 def _patterns(text: str, start: int) -> list[bytes]:
@@ -129,7 +146,7 @@ def _pattern_hashes(patterns: list[bytes]) -> np.ndarray:
     column = pa.array(patterns, pa.large_binary())
     out = []
     for _, data, offsets in text_buffers(column):
-        words, firsts = word_hashes(data, offsets, BLANKS, lower=True)
+        words, firsts = word_hashes(data, offsets, NOT_ALNUM, lower=True)
         sizes = np.diff(firsts)
         one, two = run_hashes(words, 1), run_hashes(words, 2)
         hashes = one[firsts[:-1]]
@@ -173,7 +190,7 @@ def _totals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def runs_of(column):
         for _, data, offsets in text_buffers(column):
-            words, firsts = word_hashes(data, offsets, BLANKS, lower=True)
+            words, firsts = word_hashes(data, offsets, NOT_ALNUM, lower=True)
             last = np.zeros(len(words), bool)
             last[firsts[1:][firsts[1:] > firsts[:-1]] - 1] = True
             inside = ~last[:-1]  # runs of two must not cross documents

@@ -32,3 +32,22 @@ def test_any_number_of_patterns(spark, monkeypatch):
     found = {r[0]: r[-1] for r in many[0]}
     assert found[5000] == "phone:25:37" and found[5001] == "email:14:24"
     assert [r for r in many[1] if r[0] is None] == [(None, "write to desk [email] now")]
+
+
+def test_contexts_that_touch_the_identifier(spark):
+    far = "y" * 200
+    made = [(k, f"reach our clerk tel:+1 (200) 555-{1000 + k} today") for k in range(8)]
+    made += [(20 + k, f"written by <a{k}@b.example> now") for k in range(8)]
+    made += [(40 + k, f"{far} +1 (200) 556-{1000 + k} today") for k in range(8)]
+    made += [(100, "fax or tel:0049-17-2345 now"), (101, "written by (q-99887766) now"), (102, 'written by "q-99887766", now')]
+    made += [(103, f"{far} 0049-17-2345 now"), (104, "written by " + "1234-" * 20 + "9 now"), (105, "see http://x.example/123456 now")]
+    found = {r.doc_id: r.spans for r in pii.find_pii(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    assert found[100] == "phone:11:23" and found[101] == "email:12:22" and found[102] == "email:12:22"
+    assert found[103] == "phone:201:213" and found[104] == "email:11:112" and found[105] == ""
+
+
+def test_one_rule_cuts_words():
+    text = "Call me, e-mail: <a@b.c> v10.0.0.1"
+    assert pii._patterns(text, text.index("a@b")) == [b"mail", b"e mail"]
+    assert pii._patterns(text, text.index("10.0")) == [b"c", b"b c"]
+    assert pii._patterns("x" * 500 + " tel:+12", 505) == [b"tel", b"x" * 500 + b" tel"] and pii._patterns("+12", 0) == []

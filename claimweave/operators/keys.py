@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimweave.storage import cut_lineage
-
 
 def _reduced(values: DataFrame, column: str) -> DataFrame:
     return values.select(F.col(column).alias("_member")).distinct()
@@ -96,30 +96,64 @@ def latest_per_key(
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-def surrogate_keys(names: DataFrame, column: str, key: str, start_after: Column) -> DataFrame:
+#: Names that are sampled to lay the buckets of a numbering.
+_SAMPLED = 4096
+
+
+@dataclass(frozen=True)
+class Numbering:
+    """Buckets of distinct names in name order, as literals: their lower bounds, and how many names come before each."""
+
+    bounds: tuple[str, ...] = ()
+    before: tuple[int, ...] = (0,)
+
+    def bucket(self, name: Column | str) -> Column:
+        """The bucket of a name; null comes first."""
+        name = F.col(name) if isinstance(name, str) else name
+        if not self.bounds:
+            return F.lit(0)
+        bounds = F.array(*[F.lit(b) for b in self.bounds])
+        return F.coalesce(F.size(F.filter(bounds, lambda b: b <= name)), F.lit(0))
+
+    def position(self, name: str, lane: Column | None = None) -> Column:
+        """1, 2, 3 … over all names; rows in the same ``lane`` (by default the bucket) are numbered together."""
+        bucket = self.bucket(name)
+        order = Window.partitionBy(bucket if lane is None else lane).orderBy(F.col(name).asc_nulls_first())
+        return F.row_number().over(order) + F.array(*[F.lit(n) for n in self.before])[bucket]
+
+
+def numbering(names: DataFrame, column: str, buckets: int = 64) -> Numbering:
+    """Lay buckets over the distinct values of ``column``.
+
+    Two small queries: the names with the smallest hashes are an even sample
+    whatever the order of the rows, so the bounds are the same each time, and one
+    count per bucket. Only those reach the driver; nothing is stored.
+    """
+    distinct = names.select(column).distinct()
+    sample = distinct.where(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(_SAMPLED)
+    # Ordered as Spark orders text: by its UTF-8 bytes.
+    found = sorted((r[0] for r in sample.collect()), key=lambda name: name.encode())
+    bounds = tuple(dict.fromkeys(found[k * len(found) // buckets] for k in range(1, buckets) if found))
+    laid = Numbering(bounds)
+    sizes = dict(distinct.groupBy(laid.bucket(column).alias("bucket")).count().collect())
+    before = [0]
+    for bucket in range(len(bounds)):
+        before.append(before[-1] + sizes.get(bucket, 0))
+    return Numbering(bounds, tuple(before))
+
+
+def surrogate_keys(
+    names: DataFrame, column: str, key: str, start_after: Column, laid: Numbering | None = None
+) -> DataFrame:
     """Number distinct names 1, 2, 3 … in name order, continuing after ``start_after``.
 
     Equal to ``row_number()`` over one global ordering, without gathering all
-    names in one task: names are range-partitioned and sorted, each partition
-    numbers its own rows, and the sizes of the earlier partitions are added.
-    Range bounds come from a sample, so the numbered rows are stored and both
-    uses see the same partitions. The offset table has one row per
-    partition.
+    names in one task: each bucket of ``laid`` numbers its own names and adds how
+    many come before. The plan is lazy and gives the same keys whenever it runs.
     """
-    row_bits = (1 << 33) - 1
-    numbered = cut_lineage(
-        names.select(column)
-        .distinct()
-        .repartitionByRange(F.col(column).asc_nulls_first())
-        .sortWithinPartitions(F.col(column).asc_nulls_first())
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(row_bits)))
-    )
-    sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_offset") + F.col("_row") + 1
-    return numbered.join(F.broadcast(offsets), "_part").select(column, (position + start_after).cast("int").alias(key))
+    laid = laid or numbering(names, column)
+    distinct = names.select(column).distinct()
+    return distinct.select(column, (laid.position(column) + start_after).cast("int").alias(key))
 
 
 def full_outer_using(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -127,6 +161,38 @@ def full_outer_using(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     return left.join(right, list(keys), "full_outer")
 
 
+#: Condition of a side's rows, and its aggregates by name, each a function of the lookup of a column.
+Side = tuple[Column, Mapping[str, Callable[[Callable[[str], Column]], Column]]]
+
+
+def co_aggregate(rows: DataFrame, keys: Sequence[str], sides: Mapping[str, Side]) -> DataFrame:
+    """Full outer join of parts of one table, as a single aggregate over one scan.
+
+    ``sides`` gives for each part the condition of its rows and its aggregates by
+    name, as functions of the column to read: ``{"paid": lambda c: F.sum(c("n"))}``.
+    ``c`` shows the side's own rows only and null for the others. The result has a row for every key that any side holds; a side
+    without the key shows what its aggregates give for no rows. As in the join a
+    null key never finds a partner: rows with one are kept apart by side, and a
+    side's rows with equal keys, null or not, are one group.
+
+    Equal to joining the sides' groups, for any number of sides, but a key that
+    holds a third of all rows is collapsed on the map side.
+    """
+    names = list(sides)
+    member = F.array(*[F.when(F.coalesce(condition, F.lit(False)), F.lit(n)) for n, (condition, _) in sides.items()])
+    values = [c for c in rows.columns if c not in keys]
+    tagged = rows.withColumn("_side", F.explode(F.array_compact(member)))
+    incomplete = functools.reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    tagged = tagged.withColumn("_apart", F.when(incomplete, F.col("_side")))
+    # One column per side and value, so that each side's aggregates see its own rows only.
+    split = [F.when(F.col("_side") == n, F.col(c)).alias(f"_{k}_{c}") for k, n in enumerate(names) for c in values]
+    lanes = tagged.select(*keys, "_apart", *split)
+    aggregates = []
+    for k, (_, wanted) in enumerate(sides.values()):
+        aggregates += [aggregate(lambda c, k=k: F.col(f"_{k}_{c}")).alias(out) for out, aggregate in wanted.items()]
+    return lanes.groupBy(*keys, "_apart").agg(*aggregates).drop("_apart")
+
+
 def align_key(df: DataFrame, column: str, like: DataFrame, like_column: str) -> DataFrame:
     """Give ``column`` the type it is joined to; text that is no number becomes null."""
     wanted = like.schema[like_column].dataType

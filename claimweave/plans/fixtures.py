@@ -174,9 +174,13 @@ TEMPLATES = {
                case event_id % 7 when 0 then '' when 1 then null when 2 then concat('x', cast(event_id as $text))
                  when 3 then concat(' ', cast(event_id as $text), ' ') when 4 then concat('-', cast(event_id as $text))
                  when 5 then concat(cast(event_id as $text), '000000000') else cast(event_id as $text) end as number_text,
-               case event_id % 5 when 0 then '' when 1 then null when 2 then 'x'
+               case event_id % 23 when 0 then 'NaN' when 1 then 'nan' when 2 then 'Infinity' when 3 then '-Infinity'
+                 when 4 then 'inf' when 5 then '1e3' when 6 then '2d' when 7 then ' 2.5 ' when 8 then '.5E-2f'
+                 when 9 then '' when 10 then null when 11 then 'x' when 12 then '1e' when 13 then '+7.'
                  else cast(value as $text) end as amount_text,
-               case event_id % 5 when 0 then '' when 1 then null when 2 then 'soon'
+               case event_id % 17 when 0 then '' when 1 then null when 2 then 'soon' when 3 then '32/01/2018'
+                 when 4 then '5/3/2018' when 5 then '05/03/2018 10:00' when 6 then '01/13/2018' when 7 then '0/0/2018'
+                 when 8 then ' 7/ 8/2019' when 9 then '2018-03-05' when 10 then '29/02/2019' when 11 then '31/12/99999'
                  else concat(substr(cast(cast(ts as date) as $text), 9, 2), '/',
                              substr(cast(cast(ts as date) as $text), 6, 2), '/',
                              substr(cast(cast(ts as date) as $text), 1, 4)) end as date_text

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -28,7 +28,7 @@ from claimweave.operators import claims as claims_ops
 from claimweave.operators.calls import call_metrics_by_question, call_volume_by_lob
 from claimweave.operators.directory import provider_tin_list, user_provider_association
 from claimweave.operators.grains import with_totals
-from claimweave.operators.keys import duplicate_keys, full_outer_using, latest_per_key
+from claimweave.operators.keys import co_aggregate, duplicate_keys, latest_per_key
 from claimweave.operators.providers import load_provider_history, provider_key_list, refresh_key_list
 from claimweave.operators.quality import pcor_extract
 from claimweave.operators.reconcile import Reconciliation
@@ -44,10 +44,11 @@ from claimweave.sinks import (
     read_snapshot,
     register_external_table,
     save,
+    to_csv_lines,
 )
-from claimweave.sources import read_csv, read_json, read_parquet, run_sql
+from claimweave.sources import from_csv_lines, read_csv, read_json, read_parquet, run_sql
 from claimweave.sources.schemas import USER_ASSOCIATION
-from claimweave.storage import cut_lineage, scratch_path
+from claimweave.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,11 +101,12 @@ def claims_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segment_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["ProviderSystem", "ProviderKey", "TIN", "ReportingPeriod"]
     summary = _claims(claims_ops.claims_summary, "tin", "month", spark, sf_dir)
-    # Both sides need other columns; without storing, each would scan the claims.
-    rows = cut_lineage(summary.select(*keys, "Segment", "ClaimsPaid", "ClaimsDenied"))
-    paid = rows.filter(F.col("Segment") == "E&I").select(*keys, "ClaimsPaid")
-    denied = rows.filter((F.col("Segment") == "C&S") & (F.col("ClaimsDenied") > 0)).select(*keys, "ClaimsDenied")
-    return full_outer_using(paid, denied, keys)
+    segment, denied = F.col("Segment"), F.col("ClaimsDenied")
+    sides = {
+        "paid": (segment == "E&I", {"ClaimsPaid": lambda c: F.sum(c("ClaimsPaid"))}),
+        "denied": ((segment == "C&S") & (denied > 0), {"ClaimsDenied": lambda c: F.sum(c("ClaimsDenied"))}),
+    }
+    return co_aggregate(summary.select(*keys, "Segment", "ClaimsPaid", "ClaimsDenied"), keys, sides)
 
 
 # Calls, self-service, quality
@@ -155,8 +157,10 @@ def tin_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_association(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = user_provider_association(build(spark, sf_dir, "users"))
-    return users.withColumn("roles", F.explode("roles"))
+    path = scratch_path(spark, "users")
+    overwrite_csv(build(spark, sf_dir, "users"), path)
+    users = user_provider_association(read_csv(spark, path, USER_ASSOCIATION))
+    return users.withColumn("roles", F.to_json("roles"))
 
 
 def provider_history_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,9 +177,11 @@ def _load(spark: SparkSession, sf_dir: str) -> Reconciliation:
 
 def key_list_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = _load(spark, sf_dir)
-    path = scratch_path(spark, "keys")
-    overwrite_csv(provider_key_list(load.existing, CREATED, CREATED), path)
-    return refresh_key_list(read_csv(spark, path), load.new_provider, NOW)
+    name = F.col("healthcareorganizationname")
+    # Names as people write them, with blanks around some, go through the text of the key file and back.
+    padded = F.when(F.col("providersyskey") % 3 == 0, F.concat(F.lit("  "), name, F.lit(" "))).otherwise(name)
+    listed = provider_key_list(load.existing.withColumn("healthcareorganizationname", padded), CREATED, CREATED)
+    return refresh_key_list(from_csv_lines(to_csv_lines(listed), listed.columns), load.new_provider, NOW)
 
 
 def _branch(branch: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,11 +253,14 @@ def pass_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    amount = clean_double("amount_text")
     return build(spark, sf_dir, "raw_text").select(
         "event_id",
         clean_int("number_text").alias("as_int"),
         clean_long("number_text").alias("as_long"),
-        clean_double("amount_text").alias("as_double"),
+        # Not a number equals nothing, itself included, so it is compared as a flag.
+        F.when(~F.isnan(amount), amount).alias("as_double"),
+        F.isnan(amount).cast("int").alias("not_a_number"),
     )
 
 
@@ -293,12 +302,33 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, USER_ASSOCIATION)
 
 
+_CATEGORY = "claimdenialcategorylevel1shortname"
+
+
+def _values_of(block: str, part: str, fields: list[str]) -> Callable[[Column], Column]:
+    """An entry of a list as (block, list, entry, values), for any fields."""
+    measures = [name for name in fields if name != _CATEGORY]
+
+    def opened(entry: Column) -> Column:
+        label = entry[_CATEGORY] if _CATEGORY in fields else F.lit(None).cast("string")
+        values = [F.struct(F.lit(m).alias("Measure"), entry[m].cast("double").alias("Value")) for m in measures]
+        return F.struct(F.lit(block).alias("Block"), F.lit(part).alias("List"), label.alias("Entry"), F.array(*values).alias("Values"))
+
+    return opened
+
+
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the documents as inferred from their files: one row per block, list, entry and measure."""
     path = scratch_path(spark, "documents")
     publish_documents(_claims(claims_ops.claims_documents, "system", "year", spark, sf_dir), "json", path=path)
-    return read_json(spark, path).select(
-        "ProviderSystem", "ProviderKey", "ReportingPeriod", F.inline("ALL.DenialCategory")
-    )
+    stored = read_json(spark, path)
+    lists = []
+    for block in ("EI", "CS", "MR", "ALL"):
+        for part in stored.schema[block].dataType:
+            fields = part.dataType.elementType.names
+            lists.append(F.transform(F.col(f"{block}.{part.name}"), _values_of(block, part.name, fields)))
+    rows = stored.select("ProviderSystem", "ProviderKey", "ReportingPeriod", F.inline(F.flatten(F.array_compact(F.array(*lists)))))
+    return rows.select("ProviderSystem", "ProviderKey", "ReportingPeriod", "Block", "List", "Entry", F.inline("Values"))
 
 
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,10 +366,10 @@ def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def save_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "saved")
-    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    save(regions, path, "parquet")
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS)
+    save(orders, path, "parquet")
     try:
-        save(regions.limit(0), path, "parquet")
+        save(orders.limit(0), path, "parquet")
         refused = 0
     except AnalysisException:
         refused = 1
@@ -348,9 +378,9 @@ def save_error_if_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def save_default_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "saved")
-    regions = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    save(regions, path)
-    save(regions.where("r_regionkey > 1"), path, mode="overwrite")
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLUMNS)
+    save(orders, path)
+    save(orders.where("o_orderstatus <> 'F'"), path, mode="overwrite")
     return spark.read.load(path)
 
 

@@ -10,6 +10,7 @@ from claimweave.sinks.writers import (
     overwrite_partitioned,
     publish_documents,
     save,
+    to_csv_lines,
 )
 
 __all__ = [
@@ -23,4 +24,5 @@ __all__ = [
     "read_snapshot",
     "register_external_table",
     "save",
+    "to_csv_lines",
 ]

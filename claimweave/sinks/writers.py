@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -21,6 +22,12 @@ def overwrite_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header="true", **kept).csv(path)
 
 
+def to_csv_lines(df: DataFrame) -> DataFrame:
+    """The lines that overwrite_csv writes, as the text column ``value``, without writing them."""
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    return df.select(F.to_csv(F.struct(*df.columns), kept).alias("value"))
+
+
 def overwrite_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:
     """Parquet with one folder per value combination of ``columns`` (none: plain Parquet).
 

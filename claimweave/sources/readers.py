@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -32,6 +35,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return read_files(spark, path, "csv", schema, **{"header": "true", **options})
 
 
+def from_csv_lines(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """What read_csv reads without a schema from a file of these lines (column ``value``): all strings, blanks kept."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return lines.select(F.from_csv("value", schema).alias("row")).select("row.*")
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """JSON lines. Without a schema Spark reads the data once more to infer it."""
     return read_files(spark, path, "json", schema)

@@ -3,7 +3,8 @@
     spark-submit run_job.py claims_documents_job --claims warehouse.claims \\
         --lookup parquet:/data/providers --level tin --period month --path /published/tin_month
 
-Tables are named as in the catalog or given as ``format:path``. ``run_job.py JOB
+Tables are named as in the catalog or given as ``format:path``. Options of a document
+store are read from a file, as command lines are visible to others. ``run_job.py JOB
 --help`` lists the arguments of a job. Spark settings belong to spark-submit.
 """
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import inspect
+import json
 import sys
 
 from claimweave.plans import jobs
@@ -37,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
         for parameter in inspect.signature(job).parameters.values():
             if parameter.name == "store":
                 command.add_argument("--store-format")
-                command.add_argument("--store-option", action="append", default=[], metavar="KEY=VALUE")
+                command.add_argument("--store-options", metavar="FILE", help="JSON object, credentials included")
             elif parameter.name != "spark":
                 required = parameter.default is parameter.empty
                 command.add_argument(
@@ -58,7 +60,10 @@ def main(argv: list[str]) -> None:
         if parameter.name == "spark":
             value = spark
         elif parameter.name == "store":
-            options = dict(option.split("=", 1) for option in given["store_option"])
+            options = {}
+            if given["store_options"]:
+                with open(given["store_options"], encoding="utf-8") as text:
+                    options = json.load(text)
             value = jobs.DocumentStore(given["store_format"], options) if given["store_format"] else None
         else:
             value = given[parameter.name]

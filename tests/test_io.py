@@ -1,10 +1,12 @@
 import datetime as dt
+import threading
 
 import pytest
 from conftest import plain
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from claimweave import storage
 from claimweave.plans import jobs
 from claimweave.sinks import (
     append_parquet,
@@ -17,8 +19,10 @@ from claimweave.sinks import (
     read_snapshot,
     register_external_table,
     save,
+    snapshots,
+    to_csv_lines,
 )
-from claimweave.sources import read_csv, read_files, read_json, read_parquet, read_table, run_sql, schemas
+from claimweave.sources import from_csv_lines, read_csv, read_files, read_json, read_parquet, read_table, run_sql, schemas
 from claimweave.storage import cut_lineage, scratch_path
 
 
@@ -113,6 +117,16 @@ def test_cut_lineage(spark):
     assert plain(stored) == plain(stored)
 
 
+def test_stages_are_removed_by_their_owner(spark, monkeypatch):
+    monkeypatch.setattr(storage, "_stages", [])
+    stored, other = cut_lineage(spark.range(3)), scratch_path(spark, "result")
+    overwrite_parquet(stored, other)
+    assert storage.drop_stages(spark) == 1 and storage.drop_stages(spark) == 0
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+        stored.collect()
+    assert read_parquet(spark, other).count() == 3
+
+
 def test_provider_jobs(spark):
     root, keys, new_keys, rejects = (scratch_path(spark, n) for n in ("lookup", "keys", "newkeys", "rejects"))
     history, delta = scratch_path(spark, "history"), scratch_path(spark, "delta")
@@ -180,7 +194,9 @@ def test_document_and_summary_jobs(spark, sf_dir):
     assert len(read_parquet(spark, scores).columns) == 13
 
 
-def test_run_job(spark, sf_dir):
+def test_run_job(spark, sf_dir, tmp_path):
+    import json
+
     import run_job
     from claimweave.plans.fixtures import build
 
@@ -188,7 +204,8 @@ def test_run_job(spark, sf_dir):
     overwrite_parquet(build(spark, sf_dir, "claims"), claims)
     build(spark, sf_dir, "lookup").createOrReplaceTempView("job_lookup")
     arguments = f"--claims parquet:{claims} --lookup job_lookup --level tin --period year --path {path}"
-    store = f"--store-format json --store-option path={collection}"
+    (tmp_path / "options.json").write_text(json.dumps({"path": collection}))
+    store = f"--store-format json --store-options {tmp_path}/options.json"
     run_job.main(["claims_documents_job", *arguments.split(), *store.split()])
     assert read_json(spark, path).count() == read_json(spark, collection).count() > 0
     history = scratch_path(spark, "history")
@@ -201,18 +218,52 @@ def test_run_job(spark, sf_dir):
         run_job.main(["claims_documents_job"])
 
 
-def test_snapshots_of_the_same_second(spark):
+def test_snapshots_of_the_same_second(spark, monkeypatch):
+    """Two loads of one second: both find the time free, one is published and the other one fails."""
     root, df = scratch_path(spark, "snapshots"), frame(spark)
-    first = publish_snapshot(df, root, "2019-01-01 00:00:00")
-    # Another load that passed the check at the same time and commits later.
-    df.filter("k = 1").write.parquet(f"{root}/data/20190101000000-z")
-    commit = spark.createDataFrame([("20190101000000", "20190101000000-z")], "snapshot_ts string, folder string")
-    commit.write.mode("append").json(f"{root}/commits")
-    assert spark.read.parquet(first).count() == 3
-    assert read_snapshot(spark, root).count() in (1, 3)
+    meet, won, lost = threading.Barrier(2), [], []
+    check = snapshots._is_published
+
+    def both_pass(*arguments):
+        found = check(*arguments)
+        meet.wait(60)
+        return found
+
+    monkeypatch.setattr(snapshots, "_is_published", both_pass)
+
+    def load(k):
+        try:
+            won.append((k, publish_snapshot(df.filter(F.col("k") == k), root, "2019-01-01 00:00:00")))
+        except ValueError:
+            lost.append(k)
+
+    threads = [threading.Thread(target=load, args=(k,)) for k in (1, 2)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(won) == len(lost) == 1
+    k, folder = won[0]
+    assert [r.k for r in read_snapshot(spark, root).collect()] == [k] == [r.k for r in spark.read.parquet(folder).collect()]
+    monkeypatch.setattr(snapshots, "_is_published", check)
+    with pytest.raises(ValueError):
+        publish_snapshot(df, root, "2019-01-01 00:00:00")
+    assert [r.k for r in read_snapshot(spark, root).collect()] == [k]
+
+
+def test_commits_by_rename(spark):
+    """What a shared file system does instead of linking: the second rename to a name fails."""
+    root = scratch_path(spark, "commits")
+    assert snapshots._commit(spark, f"{root}/a", {"folder": "one"}, link=False)
+    assert not snapshots._commit(spark, f"{root}/a", {"folder": "two"}, link=False)
+    assert [r.folder for r in spark.read.json(root).collect()] == ["one"]
 
 
 def test_csv_keeps_blanks(spark):
     path = scratch_path(spark, "blanks")
-    overwrite_csv(spark.createDataFrame([(" a ",), ("a",)], "v string"), path)
-    assert sorted(r.v for r in read_csv(spark, path).collect()) == [" a ", "a"]
+    df = spark.createDataFrame([(" a ", 1), ("a", 2), ('q"u,o', 3), (None, None), ("", 5), ("  ", 6)], "v string, n int")
+    overwrite_csv(df, path)
+    stored = read_csv(spark, path)
+    assert (" a ", "1") in plain(stored)
+    # The lines of the file are the same without the file.
+    assert plain(from_csv_lines(to_csv_lines(df), df.columns)) == plain(stored)

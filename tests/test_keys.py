@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from claimweave.operators.keys import (
     align_key,
+    co_aggregate,
     duplicate_keys,
     full_outer_using,
     is_in,
     latest_per_key,
     not_in,
+    numbering,
     rows_of_duplicates,
     rows_of_singles,
     surrogate_keys,
@@ -85,6 +87,26 @@ def test_full_outer_keeps_null_keys_apart(spark):
     ]
 
 
+def test_co_aggregate_is_a_full_outer_join(spark):
+    rows = [(1, "x", "l", 1), (1, "x", "r", 10), (2, None, "l", 2), (2, None, "r", 20), (3, "x", "l", None), (4, "x", "r", 40), (None, None, "r", 50), (5, "x", "o", 9), (6, "x", None, 1)]
+    df = spark.createDataFrame(rows, "k int, j string, side string, v int")
+    sides = {s: (F.col("side") == s, {s: lambda c: F.sum(c("v"))}) for s in ("l", "r")}
+    left, right = (df.where(F.col("side") == s).select("k", "j", F.col("v").cast("bigint").alias(s)) for s in ("l", "r"))
+    expected = plain(full_outer_using(left, right, ["k", "j"]))
+    assert plain(co_aggregate(df, ["k", "j"], sides)) == expected and len(expected) == 6
+    plan = co_aggregate(df, ["k", "j"], sides)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 64])
+def test_numbering_has_no_gaps_for_any_buckets(spark, buckets):
+    names = [f"é{k % 7}" if k % 5 == 0 else chr(0x4E00 + k) if k % 5 == 1 else f"n {k}" for k in range(300)] + [None, "", "n 2", "\U0001F600", "\uFFFD"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = [r for r in surrogate_keys(df, "name", "key", F.lit(0), numbering(df, "name", buckets)).orderBy("key").collect()]
+    assert [r["key"] for r in found] == list(range(1, len(set(names)) + 1))
+    assert [r.name for r in found] == [r.name for r in df.distinct().orderBy(F.col("name").asc_nulls_first()).collect()]
+
+
 def test_align_key(spark):
     texts = spark.createDataFrame([("12",), ("x",), (None,)], "tin string")
     numbers = spark.createDataFrame([(12,)], "tin bigint")

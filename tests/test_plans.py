@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.operators.calls import call_volume_by_lob
 from claimweave.operators.claims import claims_denials, claims_documents, claims_summary
 from claimweave.operators.reconcile import Reconciliation
+from claimweave.plans import registry
 from claimweave.plans.fixtures import build
 from claimweave.storage import cut_lineage, shared_folder
 
@@ -57,6 +58,42 @@ def test_no_nested_loops(stored, branch):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("branch", ["merged", "rejected"])
+def test_inputs_are_read_a_few_times(stored, branch):
+    """At most six reads of either input, subqueries included, and no plan inside a plan."""
+    load = Reconciliation(stored.existing, stored.incoming, "2018-08-31 00:00:00")
+    plan = getattr(load, branch)._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "Relation [" in line]
+    existing = sum("formattedtin" in line for line in reads)
+    assert 1 <= existing <= 6 and 1 <= len(reads) - existing <= 6
+    assert "scalar-subquery" not in plan
+
+
+def test_names_meet_rows_before_they_are_spelled_out(stored):
+    """What is joined to the incoming rows has one row per normalised name; the keys of its spellings are opened above."""
+    plan = Reconciliation(stored.existing, stored.incoming, "2018-08-31 00:00:00").new_provider._jdf.queryExecution().optimizedPlan()
+    lines = [line.strip(" :+-") for line in plan.toString().splitlines()]
+    opened = next(k for k, line in enumerate(lines) if line.startswith("Generate inline(_opened"))
+    join = next(k for k, line in enumerate(lines) if line.startswith("Join") and "_given" in line)
+    gathered = next(k for k, line in enumerate(lines) if line.startswith("Aggregate") and "collect_set" in line and k > join)
+    assert opened < join < gathered
+
+
+def test_nothing_is_written_while_a_plan_is_built(spark, stored, sf_dir, monkeypatch):
+    written = []
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", lambda *a, **k: written.append(a))
+    monkeypatch.setattr("pyspark.sql.readwriter.DataFrameWriter.csv", lambda *a, **k: written.append(a))
+    for name in ("reconcile_surrogate_keys", "reconcile_merged", "key_list_refresh", "segment_full_outer"):
+        registry.queries()[name](spark, sf_dir)
+    assert not written
+
+
+def test_co_aggregate_scans_once(spark, sf_dir):
+    plan = physical(registry.queries()["segment_full_outer"](spark, sf_dir))
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "l_suppkey" in line]) == 1
+    assert "FullOuter" not in plan
+
+
 def test_shared_folder_is_required_on_a_cluster():
     def session(master, folder):
         return SimpleNamespace(

@@ -96,8 +96,8 @@ def latest_per_key(
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-#: Names that are sampled to lay the buckets of a numbering.
-_SAMPLED = 4096
+#: Names that are sampled at most to lay the buckets of a numbering.
+_SAMPLED = 2048
 
 
 @dataclass(frozen=True)
@@ -122,20 +122,24 @@ class Numbering:
         return F.row_number().over(order) + F.array(*[F.lit(n) for n in self.before])[bucket]
 
 
-def numbering(names: DataFrame, column: str, buckets: int = 64) -> Numbering:
+def numbering(names: DataFrame, column: str, buckets: int = 64, over: DataFrame | None = None) -> Numbering:
     """Lay buckets over the distinct values of ``column``.
 
-    Two small queries: the names with the smallest hashes are an even sample
-    whatever the order of the rows, so the bounds are the same each time, and one
-    count per bucket. Only those reach the driver; nothing is stored.
+    Two small queries: a sample of distinct names, the one with the smallest hash
+    in each of _SAMPLED slots, so that it depends neither on the order of the rows
+    nor on how often a name occurs; then one count per bucket. Only those reach
+    the driver; nothing is stored. ``over`` may be a wider table that is cheaper to
+    sample: a bucket then holds no more of its part than of the whole.
     """
-    distinct = names.select(column).distinct()
-    sample = distinct.where(F.col(column).isNotNull()).orderBy(F.xxhash64(column), column).limit(_SAMPLED)
+    wide = names if over is None else over
+    name, hashed = F.col(column), F.xxhash64(column)
+    slots = wide.where(name.isNotNull()).groupBy(F.pmod(hashed, F.lit(_SAMPLED)).alias("slot"))
+    sample = slots.agg(F.min(F.struct(hashed.alias("hash"), name.alias("name"))).alias("least")).select("least.name")
     # Ordered as Spark orders text: by its UTF-8 bytes.
     found = sorted((r[0] for r in sample.collect()), key=lambda name: name.encode())
     bounds = tuple(dict.fromkeys(found[k * len(found) // buckets] for k in range(1, buckets) if found))
     laid = Numbering(bounds)
-    sizes = dict(distinct.groupBy(laid.bucket(column).alias("bucket")).count().collect())
+    sizes = dict(names.select(column).distinct().groupBy(laid.bucket(column).alias("bucket")).count().collect())
     before = [0]
     for bucket in range(len(bounds)):
         before.append(before[-1] + sizes.get(bucket, 0))

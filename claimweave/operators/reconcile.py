@@ -99,7 +99,7 @@ class Reconciliation:
     def _numbering(self) -> Numbering:
         known = self.existing.select(norm_name(_NAME).alias("_norm")).distinct()
         names = self.incoming.select(_NAME).distinct().withColumn("_norm", norm_name(_NAME))
-        return numbering(names.where(self._is_new()).join(known, "_norm", "left_anti"), _NAME)
+        return numbering(names.where(self._is_new()).join(known, "_norm", "left_anti"), _NAME, over=self.incoming)
 
     @cached_property
     def new_keys(self) -> DataFrame:

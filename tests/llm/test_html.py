@@ -1,5 +1,8 @@
 """Main text of pages: what the wrapper of a host decides, against plain readings of the same pages."""
 
+import json
+import time
+import tracemalloc
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -69,7 +72,8 @@ def test_the_wrapper_decides(spark):
         },
     )
     assert found["teasers.example"] == [f"card {k} {words(k)}" for k in range(5)]  # the tag holds less than the rest
-    assert found["same.example"] == [words(k) for k in range(5)]  # constant, though in the tag
+    said = "Read all of our stories every day"
+    assert found["same.example"] == [f"{said} {words(k)}" for k in range(5)]  # what is in the tag is the article's
     assert found["menu.example"] == [f"{words(k)} {words(-k)}" for k in range(5)]  # repeated, but constant as a whole
 
 
@@ -119,3 +123,66 @@ def test_text_of_one_page_is_kept(spark):
     assert found["two.example"] == [f"title 0 {words(0)}", f"title 1 {said} {words(1)}"]
     assert found["copied.example"] == [f"one {said} {words(1)}"] * 2 + [f"other {words(2)}"]
     assert found["dated.example"] == [f"day {k} {words(0)}" for k in range(5)]
+
+
+@pytest.mark.parametrize("pages", [1, 2, 4, 60])
+def test_headings_do_not_depend_on_the_number_of_pages(spark, pages):
+    inner = "<h1>Weekly report</h1><h2>Ingredients</h2><p>{0}</p><h2>Method</h2><p>{1}</p>"
+    around = "<div class=top><a>One</a> <a>Two</a></div>{}<div class=low>Imprint</div>"
+    made = {
+        "tag.example": around.format(f"<article>{inner}</article>"),
+        "div.example": around.format(f"<div class=text>{inner}</div>"),
+    }
+    found = texts(spark, {host: [page.format(words(k), words(-k - 1)) for k in range(pages)] for host, page in made.items()})
+    whole = [f"Weekly report Ingredients {words(k)} Method {words(-k - 1)}" for k in range(pages)]
+    assert found["tag.example"] == whole
+    # One page alone does not tell what the host repeats.
+    assert found["div.example"] == ([f"One Two {whole[0]} Imprint"] if pages == 1 else whole)
+
+
+def test_class_words_inside_an_article_are_judged_by_element(spark):
+    kept = (
+        "<p class='share-price'>fell</p><table class='menu'><tr><td>soup</table><div class='search-results-discussion'>we saw</div>"
+        "<section class='comments-on-the-law'>section</section><h2 class='notice'>Notice</h2><span class='ad-hoc'>plan</span>"
+    )
+    gone = (
+        "<div class='share-buttons'>tweet</div><ul class='related-posts'><li>other</ul><div class='comments'>no</div><aside>aside</aside>"
+        "<section id='newsletter'>sign up</section><div hidden>unseen</div><div class='ad'>buy</div>"
+    )
+    page = f"<body><article><p>{{}}</p>{kept}{gone}</article></body>"
+    found = texts(spark, {"one.example": [page.format(words(k)) for k in range(5)]})
+    assert found["one.example"] == [f"{words(k)} fell soup we saw section Notice plan" for k in range(5)]
+
+
+@pytest.mark.parametrize(
+    "broken",
+    ["<a ", "<div>", "<div>x", '<a title="x ', "<b><p>x", "<nav>x", "<script ", "<li><span>x", "</p>", "<!-", "&amp;<", "<p class='ad'>x", "<table><b>"],
+)
+def test_a_megabyte_of_broken_markup(broken):
+    """Time in proportion to the page, however deep it nests."""
+    page = broken * (1_000_000 // len(broken))
+    start = time.process_time()
+    assert len(html_extract.main_text(page, json.dumps(html_extract.page_wrapper(page)))) <= len(page)
+    assert time.process_time() - start < 60
+
+
+@pytest.mark.parametrize("broken", ["<div>x", "<nav>x", "<a "])
+def test_memory_of_broken_markup(broken):
+    page = broken * (200_000 // len(broken))
+    tracemalloc.start()
+    html_extract.main_text(page, json.dumps(html_extract.page_wrapper(page)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80_000_000
+
+
+def test_deep_pages_keep_their_text():
+    page = "<div>" * 30_000 + "<article><p>deep text</p></article><nav>menu</nav>" + "</div>" * 30_000 + "<p>tail</p>"
+    assert html_extract.main_text(page, None).startswith("deep text")
+    assert html_extract.main_text("<nav>" * 20_000 + "x" + "</nav>" * 20_000 + "<p>the text of this page</p>", None) == "the text of this page"
+
+
+def test_other_columns_do_not_clash(spark):
+    made = [(1, "http://a.example/1", "<article>one</article>", "h", "w", "t", "i")]
+    df = spark.createDataFrame(made, "page_id long, url string, html string, host string, wrapper string, text string, id string")
+    assert [tuple(r) for r in html_extract.extract_text(df).collect()] == [(1, "http://a.example/1", "one", 3)]

@@ -1,9 +1,11 @@
 """Word hashing over raw UTF-8 buffers.
 
 The bytes of many documents are hashed together with numpy, without a Python
-object per word. A word's hash is a polynomial in its bytes modulo 2**64 with a
-random table entry per byte value, finished by an avalanche step. It does not
-depend on the process, the batch or the position of the word.
+object per word. A word is cut into blocks of eight bytes; each block is mixed
+with its position by a non-linear step, and the mixed blocks are added up with
+the length and mixed again. So no rule about the bytes of two words, such as
+swapped or mirrored patterns, makes their hashes equal. It does not depend on the
+process, the batch or the place of the word in its text.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ import pyarrow as pa
 #: Bytes of text hashed at once; longer documents form a chunk of their own.
 CHUNK_BYTES = 500_000
 
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BLOCK = 8
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEED = np.uint64(0xA0761D6478BD642F)
+#: What is left of a block of n bytes.
+_MASKS = np.array([(1 << (8 * n)) - 1 for n in range(_BLOCK + 1)], np.uint64)
 
 
 def _table(separators: bytes | range) -> np.ndarray:
@@ -36,16 +39,6 @@ _LOWER = _SAME.copy()
 _LOWER[65:91] += 32
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
-    if len(_POWERS[0]) < n:
-        for slot, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _POWERS[slot] = np.multiply.accumulate(steps)
-    return _POWERS[0], _POWERS[1]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Avalanche step (splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -95,12 +88,23 @@ def word_hashes(
     starts, ends, firsts = word_spans(data, offsets, separators)
     if not len(starts):
         return np.empty(0, np.uint64), firsts
-    powers, inverse = _powers(len(data))
-    values = _BYTE[(_LOWER if lower else _SAME)[data]]
-    values[separators[data]] = 0
-    values *= powers[: len(data)]
-    sums = np.add.reduceat(values, starts) * inverse[starts]
-    return mix(sums + (ends - starts).astype(np.uint64)), firsts
+    padded = np.zeros(len(data) + _BLOCK, np.uint8)
+    padded[: len(data)] = _LOWER[data] if lower else data
+    # The eight bytes from every position on, as one number.
+    eight = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+    lengths = ends - starts
+    sums = mix((eight[starts] & _MASKS[np.minimum(lengths, _BLOCK)]) ^ _SEED)
+    longer = np.flatnonzero(lengths > _BLOCK)
+    blocks = (lengths[longer] + _BLOCK - 1) // _BLOCK - 1
+    if len(longer):  # one row per further block: its word, and its number in the word
+        word = np.repeat(longer, blocks)
+        first = np.cumsum(blocks) - blocks
+        number = np.arange(len(word)) - np.repeat(first, blocks) + 1
+        at = starts[word] + number * _BLOCK
+        left = np.minimum(ends[word] - at, _BLOCK)
+        mixed = mix(mix((eight[at] & _MASKS[left]) ^ _SEED) + number.astype(np.uint64) * _STEP)
+        sums[longer] += np.add.reduceat(mixed, first)
+    return mix(sums + lengths.astype(np.uint64) * _STEP), firsts
 
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:

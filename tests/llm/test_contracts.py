@@ -16,6 +16,7 @@ from claimweave.llm import (
     byte_bpe,
     decontaminate,
     embedding_dedup,
+    hashing,
     html_extract,
     jaccard_join,
     language_id,
@@ -147,6 +148,59 @@ def test_decontamination(spark, sf_dir, docs, awkward):
     assert decontaminate.decontaminate(awkward.limit(0), bench).count() == 0
 
 
+def test_decontamination_beyond_the_broadcast(spark, sf_dir, docs, awkward, monkeypatch):
+    """Windows that are shuffled: the same rows, and what travels is narrow whatever a text's length."""
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    near = queries.op3_decontamination(spark, sf_dir)
+    monkeypatch.setattr(decontaminate, "_BROADCAST_ROWS", 0)
+    far = queries.op3_decontamination(spark, sf_dir)
+    assert rows(far, *columns) == rows(near, *columns)
+    plan = far._jdf.queryExecution().optimizedPlan().toString()
+    joined = next(line for line in plan.splitlines() if "xxhash64(slice(" in line)
+    assert "_kept" not in joined.split("[")[1] and "_words" not in joined.split("AS _hash")[-1]
+    items = [(1, "Two, ONE"), (10, "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13"), (2, None), (3, ""), (4, "the the the"), (5, "v19000 v19001 v19002 v19003 v19004 v19005 v19006 v19007 v19008 v19009")]
+    long = " ".join(f"v{i}" for i in range(20_000))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    some = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(50, long), (None, long)], "doc_id long, text string"))
+    source = [*UNIQUE, (50, long), (None, long)]
+    found = rows(decontaminate.decontaminate(some, bench), *columns)
+    assert distinct(found) == sorted(brute.decontaminated(source, items), key=repr)
+    clean = decontaminate.decontaminate(some, bench, remove="spans").where("doc_id = 50").first()
+    assert len(clean.text.split()) == 19_990
+    hit = {r[0] for r in brute.decontaminated(source, items) if r[-1]}
+    assert {r.doc_id for r in decontaminate.decontaminate(some, bench, remove="documents").collect()} == {r[0] for r in source} - hit
+    assert decontaminate.decontaminate(some, bench.limit(0)).where("contaminated").count() == 0
+
+
+def mirrored():
+    """The Thue-Morse word over a and b, and its mirror: equal under polynomial hashes modulo powers of two."""
+    return ["".join("ab"[k.bit_count() % 2 ^ flip] for k in range(1024)) for flip in (0, 1)]
+
+
+def test_different_words_have_different_hashes():
+    one, two = mirrored()
+    made = {one, two, *("a" * k for k in range(1, 70)), *("ab" * k for k in range(1, 40)), *(c * 8 + d * 8 for c in "abcd" for d in "abcd")}
+    made |= {"".join(rotated[k:] + rotated[:k]) for rotated in ("abcdefghijklmnop" * 3,) for k in range(16)}
+    whole = sorted(made)
+    data = np.frombuffer(" ".join(whole).encode(), np.uint8)
+    hashes, firsts = hashing.word_hashes(data, np.array([0, len(data)]), hashing.BLANKS, lower=False)
+    assert len(set(hashes.tolist())) == len(whole) == firsts[-1]
+    for word, value in zip(whole, hashes.tolist(), strict=True):  # wherever a word stands
+        alone = np.frombuffer(f" {word}".encode(), np.uint8)
+        assert hashing.word_hashes(alone, np.array([0, len(alone)]), hashing.BLANKS, lower=False)[0].tolist() == [value]
+        upper = np.frombuffer(word.upper().encode(), np.uint8)
+        assert hashing.word_hashes(upper, np.array([0, len(upper)]), hashing.BLANKS, lower=True)[0].tolist() == [value]
+
+
+def test_mirrored_words_are_not_copies(spark):
+    one, two = mirrored()
+    made = [(k, " ".join([word] * 25 + [f"x{word[0]}{k}"])) for k, word in enumerate((one, two))]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert rows(jaccard_join.ngram_jaccard_join(df), "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard(made), key=repr)
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert rows(substring_dedup.substring_dedup(df), *columns) == sorted(brute.substrings(made), key=repr)
+
+
 def test_substrings(spark, sf_dir, docs, awkward):
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert rows(queries.op4_substring_dedup(spark, sf_dir), *columns) == sorted(brute.substrings(docs), key=repr)

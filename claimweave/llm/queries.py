@@ -18,6 +18,7 @@ from claimweave.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    oracle,
     pii,
     quality,
     ranked_search,
@@ -255,4 +256,11 @@ from urls u join (select t.*, d.rule from templates t join different d using (ho
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that SQL expresses in reasonable time; the tests hold the others against plain Python."""
-    return {"op3_decontamination": _OP3, "op11_ranked_search": _OP11, "op12_url_filter": _OP12}
+    return {
+        "op1_ngram_jaccard": oracle.NGRAM_JACCARD,
+        "op2_embedding_dedup": oracle.EMBEDDING_DEDUP,
+        "op3_decontamination": _OP3,
+        "op4_substring_dedup": oracle.SUBSTRING_DEDUP,
+        "op11_ranked_search": _OP11,
+        "op12_url_filter": _OP12,
+    }

@@ -263,4 +263,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op11_ranked_search": _OP11,
         "op12_url_filter": _OP12,
+        "op13_conversation_repair": oracle.CONVERSATION_REPAIR,
     }

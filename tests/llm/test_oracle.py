@@ -1,12 +1,15 @@
 """Operators against their SQL, on whole small tables; and the SQL against the operators on awkward rows."""
 
+import random
+
 import duckdb
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from claimweave.llm import embedding_dedup, jaccard_join, oracle, queries, substring_dedup
 
-TABLES = {"op1_ngram_jaccard": "documents", "op2_embedding_dedup": "embeddings", "op4_substring_dedup": "documents"}
+TABLES = {"op1_ngram_jaccard": "documents", "op2_embedding_dedup": "embeddings", "op4_substring_dedup": "documents", "op13_conversation_repair": "conversations"}
 SPACED = "a\tb\n c\x0bd\x0ce  f\rg h "
 
 
@@ -68,3 +71,24 @@ def test_vector_sql_on_awkward_rows(spark):
     expected, names = in_sql(oracle.EMBEDDING_DEDUP, "embeddings", made)
     df = spark.createDataFrame(list(zip(range(len(vectors)), vectors, labels, strict=True)), "vec_id long, embedding array<float>, label int")
     assert rows(embedding_dedup.embedding_dedup(df), names) == expected
+
+
+def test_conversation_sql_on_awkward_rows(spark, tmp_path):
+    rng = random.Random(13)
+    roles = ["user", "assistant", "system", "tool", "u", "", None]
+    texts = ["Yes.", "Yes. ", "No", "", " \t", "é!", "a\nb?\n", "Why? no", None, "x" * 9000]
+    made = []
+    for conv in [*range(60), None]:
+        for turn in range(rng.randrange(1, 14)):
+            number = rng.choice([turn, turn, turn, turn + 3, None])
+            role = rng.choice(["user", "assistant"][turn % 2 :][:1] * 8 + roles)
+            made.append((conv, number, role, rng.choice(["Yes.", f"Right {turn}.", f"Well {turn}!"] * 6 + texts)))
+    columns = dict(zip(("conv_id", "turn", "role", "text"), zip(*made, strict=True), strict=True))
+    kinds = {"conv_id": pa.int64(), "turn": pa.int64(), "role": pa.string(), "text": pa.string()}
+    table = pa.table({c: pa.array(v, kinds[c]) for c, v in columns.items()})
+    pq.write_table(table, tmp_path / "conversations.parquet")
+    expected, names = in_sql(oracle.CONVERSATION_REPAIR, "conversations", table)
+    assert rows(queries.op13_conversation_repair(spark, str(tmp_path)), names) == expected
+    # Never I: instead of an inserted turn and its partner, the partner is deleted for less.
+    assert {letter for row in expected for letter in row[0]} == set("KRD")
+    assert in_sql(oracle.CONVERSATION_REPAIR, "conversations", table.slice(0, 0))[0] == []

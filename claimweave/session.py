@@ -11,6 +11,9 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Warehouse tables written by other tools store text as plain binary.
     "spark.sql.parquet.binaryAsString": "true",
+    # Compiled stages that a driver or executor keeps. A load has several hundred, and with Spark's 100 each of
+    # its outputs would compile them anew, on every executor.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 

@@ -4,7 +4,7 @@ Documents are range-partitioned by id, encoded and written as shards. Every
 record is a little-endian frame: length (8 bytes), masked CRC-32 of the length
 (4), payload, masked CRC-32 of the payload (4). The payload is one byte for the
 width of an id (2 or 4) and the ids. The index is a table of its own with the
-place of every record, so that training can read records in any order.
+place of every record; training reads records in any order by seeking to them.
 
 Shards are written through the file system the folder's address names, under a
 name that no other attempt uses; only shards that the committed index lists
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.memo import Memo
@@ -35,7 +35,9 @@ from claimweave.storage import scratch_path
 #: Bytes after which a shard ends; a longer record forms a shard of its own.
 SHARD_BYTES = 16_000_000
 #: Distinct words, and pieces of words, of one generation that a worker remembers.
-_REMEMBERED = 500_000
+_REMEMBERED = 250_000
+#: Bytes of records that a reader holds at once, if more than one.
+_READ_BYTES = 16_000_000
 #: Characters encoded together.
 _CHARS = 1_000_000
 #: Fixed value of masked checksums.
@@ -60,20 +62,30 @@ def frame(ids: np.ndarray) -> bytes:
     return head + struct.pack("<I", masked_crc(head)) + payload + struct.pack("<I", masked_crc(payload))
 
 
+def read_frame(data: bytes, at: int) -> tuple[np.ndarray, int]:
+    """The ids of the record at ``at`` and where the next one starts; a damaged record raises ValueError."""
+    if at + 12 > len(data):
+        raise ValueError(f"record at {at} is cut off")
+    (size,), (check,) = struct.unpack_from("<Q", data, at), struct.unpack_from("<I", data, at + 8)
+    if check != masked_crc(data[at : at + 8]) or at + 16 + size > len(data):
+        raise ValueError(f"record at {at} has a damaged length")
+    payload = data[at + 12 : at + 12 + size]
+    if struct.unpack_from("<I", data, at + 12 + size)[0] != masked_crc(payload):
+        raise ValueError(f"record at {at} has damaged ids")
+    return np.frombuffer(payload, f"<u{payload[0]}", offset=1), at + 16 + size
+
+
 def read_frames(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
-    """``(offset, ids)`` of every record of a shard; a damaged shard raises ValueError."""
+    """``(offset, ids)`` of every record of a shard."""
     at = 0
     while at < len(data):
-        if at + 12 > len(data):
-            raise ValueError(f"record at {at} is cut off")
-        (size,), (check,) = struct.unpack_from("<Q", data, at), struct.unpack_from("<I", data, at + 8)
-        if check != masked_crc(data[at : at + 8]) or at + 16 + size > len(data):
-            raise ValueError(f"record at {at} has a damaged length")
-        payload = data[at + 12 : at + 12 + size]
-        if struct.unpack_from("<I", data, at + 12 + size)[0] != masked_crc(payload):
-            raise ValueError(f"record at {at} has damaged ids")
-        yield at, np.frombuffer(payload, f"<u{payload[0]}", offset=1)
-        at += 16 + size
+        ids, following = read_frame(data, at)
+        yield at, ids
+        at = following
+
+
+def _located(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
 class WordEncoder:
@@ -167,7 +179,7 @@ def write_token_records(
     """
 
     def write(part: int, batches):
-        target, place = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        target, place = _located(folder)
         target.create_dir(f"{place}/shards", recursive=True)
         shard, buffer, rows, attempt = 0, io.BytesIO(), [], uuid.uuid4().hex
 
@@ -208,23 +220,67 @@ def write_token_records(
     return docs.sparkSession.read.schema(index.schema).parquet(f"{folder}/index")
 
 
-def read_token_records(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
-    """``(shard, record, tokens, ids_crc32)`` of every record of the index, read from the shard files."""
+def _sought(source: fs.FileSystem, place: str, shards: list[str], offsets: list[int], sizes: list[int]) -> list[np.ndarray]:
+    """The ids of each record; neighbours in a shard are read together."""
+    out: list = [None] * len(shards)
+    order = sorted(range(len(shards)), key=lambda k: (shards[k], offsets[k]))
+    at = 0
+    while at < len(order):
+        shard, first = shards[order[at]], offsets[order[at]]
+        end, stop = first, at
+        with source.open_input_file(f"{place}/shards/{shard}") as file:
+            while stop < len(order) and (shards[order[stop]], offsets[order[stop]]) == (shard, end):
+                end, stop = end + sizes[order[stop]], stop + 1
+            data = file.read_at(end - first, first)
+        for k in order[at:stop]:
+            out[k], following = read_frame(data, offsets[k] - first)
+            if following != offsets[k] - first + sizes[k]:
+                raise ValueError(f"record at {offsets[k]} of {shard} is not the one of the index")
+        at = stop
+    return out
+
+
+def read_token_records(index: DataFrame, folder: str, with_ids: bool = True) -> DataFrame:
+    """``(id, part, shard, record, n_tokens, ids_crc32)`` and ``ids`` of the rows of ``index``, in their order.
+
+    ``index`` is the stored index or any choice, order and partitioning of its
+    rows; each task seeks to the records of its own rows and reads nothing else.
+    Rows that repeat are read again, an empty table reads no file. A damaged
+    record, or one that is not as the index says, raises ValueError.
+    """
 
     def read(batches):
+        source, place = _located(folder)
         for batch in batches:
-            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = [(k, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for k, (_, ids) in enumerate(read_frames(data))]
-                records, counts, sums = zip(*rows, strict=True) if rows else ((), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path.rsplit("/", 1)[-1]] * len(rows), pa.string()), pa.array(records, pa.int64()), pa.array(counts, pa.int64()), pa.array(sums, pa.int64())],
-                    ["shard", "record", "tokens", "ids_crc32"],
-                )
-
-    if index.isEmpty():  # then there is no shard file
-        return spark.createDataFrame([], "shard string, record long, tokens long, ids_crc32 long")
-    files = spark.read.format("binaryFile").load(f"{folder}/shards/*.records").select("path", "content")
-    return files.mapInArrow(read, "shard string, record long, tokens long, ids_crc32 long")
+            shards, offsets, sizes = (batch.column(c).to_pylist() for c in ("shard", "offset", "bytes"))
+            at = 0
+            while at < len(batch):
+                stop, held = at + 1, sizes[at]
+                while stop < len(batch) and held + sizes[stop] <= _READ_BYTES:
+                    held, stop = held + sizes[stop], stop + 1
+                found = _sought(source, place, shards[at:stop], offsets[at:stop], sizes[at:stop])
+                counts = pa.array([len(ids) for ids in found], pa.int64())
+                if counts != batch.column("n_tokens").slice(at, stop - at):
+                    raise ValueError("records do not have the length that the index says")
+                kept = batch.slice(at, stop - at)
+                out = [*(kept.column(c) for c in ("id", "part", "shard", "record")), counts]
+                out.append(pa.array([zlib.crc32(ids.astype("<u4").tobytes()) for ids in found], pa.int64()))
+                if with_ids:
+                    ends = np.cumsum([0, *(len(ids) for ids in found)])
+                    out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).astype(np.int64))))
+                yield pa.RecordBatch.from_arrays(out, names)
+                at = stop
+
+    names = ["id", "part", "shard", "record", "n_tokens", "ids_crc32", *["ids"] * with_ids]
+    kind = index.schema["id"].dataType.simpleString()
+    rows = index.select("id", "part", "shard", "record", "offset", "bytes", "n_tokens")
+    schema = f"id {kind}, part int, shard string, record long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
+    return rows.mapInArrow(read, schema)
+
+
+def shuffled_token_records(index: DataFrame, folder: str, seed: int) -> DataFrame:
+    """All records with their ids in a random order, which ``seed`` and the files fix; only rows of the index are moved."""
+    return read_token_records(index.orderBy(F.xxhash64(F.lit(seed), "shard", "record"), "shard", "record"), folder)
 
 
 def token_records(
@@ -238,8 +294,9 @@ def token_records(
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "records")
     index = write_token_records(docs, folder, tokenizer_path, id_col, text_col, end_id)
-    read = read_token_records(spark, folder, index)
-    joined = index.join(read, ["shard", "record"])
+    # As many tasks as for writing, whatever little room the index takes.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = read_token_records(index.repartition(parts, "shard"), folder, with_ids=False)
     totals = index.groupBy("part").agg(F.sum("n_tokens").alias("total")).collect()  # a row per task that wrote
     before, ahead = {}, 0
     for part, total in sorted(tuple(r) for r in totals):
@@ -248,6 +305,6 @@ def token_records(
     from pyspark.sql import Window
 
     within = Window.partitionBy("part").orderBy("shard", "record").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = joined.join(F.broadcast(heads), "part")
-    start = F.col("ahead") + F.sum("tokens").over(within) - F.col("tokens")
-    return joined.select(F.col("id").alias(id_col), start.alias("start"), F.col("tokens").alias("n_tokens"), "ids_crc32")
+    read = read.join(F.broadcast(heads), "part")
+    start = F.col("ahead") + F.sum("n_tokens").over(within) - F.col("n_tokens")
+    return read.select(F.col("id").alias(id_col), start.alias("start"), "n_tokens", "ids_crc32")

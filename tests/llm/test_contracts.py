@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import public_tokenizers as P
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -244,6 +245,28 @@ def test_token_records(spark, sf_dir, docs, awkward):
         list(token_records.read_frames(record[:-5] + b"\7" + record[-4:]))
 
 
+def test_token_records_sought(spark, awkward, tmp_path, monkeypatch):
+    tokenizer = Tokenizer.from_file(queries.WORD_BPE)
+    expected = sorted(tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for _, t, _ in AWKWARD)
+    monkeypatch.setattr(token_records, "SHARD_BYTES", 200)  # several shards a part
+    index = token_records.write_token_records(awkward, str(tmp_path / "a"), queries.WORD_BPE)
+    assert index.select("shard").distinct().count() > 4
+    shuffled = [token_records.shuffled_token_records(index, str(tmp_path / "a"), seed).collect() for seed in (1, 1, 2)]
+    assert shuffled[0] == shuffled[1] != shuffled[2]
+    assert all(sorted(r.ids for r in found) == expected for found in shuffled)
+    one = token_records.read_token_records(index.where("id = 12"), str(tmp_path / "a")).collect()
+    assert [r.ids for r in one] == [tokenizer.encode(AWKWARD[-1][1], add_special_tokens=False).ids + [1]]
+    assert one[0].ids_crc32 == zlib.crc32(np.array(one[0].ids, "<u4").tobytes())
+    for shard in (tmp_path / "a" / "shards").iterdir():  # records that are not asked for are not read
+        if shard.name != one[0].shard:
+            shard.write_bytes(b"")
+    assert token_records.read_token_records(index.where("id = 12"), str(tmp_path / "a")).collect() == one
+    for wrong in ("id <> 12", "id = 12"):
+        moved = index.where(wrong).withColumn("offset", F.col("offset") + 1)
+        with pytest.raises(Exception, match="record at"):
+            token_records.read_token_records(moved, str(tmp_path / "a")).collect()
+
+
 def test_byte_bpe(spark, sf_dir, docs, awkward):
     with open(queries.BYTE_RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

@@ -8,6 +8,8 @@ texts. A text gets the language whose prototype has the largest cosine.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,8 +18,10 @@ from pyspark.sql import functions as F
 _SEED = 11
 #: Distinct n-grams whose vectors a worker keeps before it starts anew.
 _KEPT = 30_000
-#: Characters whose n-grams are counted together.
+#: Characters whose n-grams are counted together; a longer text is counted piece by piece.
 _CHARS = 300_000
+#: Distinct n-grams whose vectors are bundled together (32 MB as 4-byte floats at 1,024 dimensions).
+_BUNDLED = 8_192
 _LETTERS: list[np.ndarray] = []
 
 
@@ -31,10 +35,10 @@ def _letter_table() -> np.ndarray:
 def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, 3-gram and count; a 3-gram packs the code points of three letters or of word edges (blanks).
 
-    The 3-grams of a text are those of its lower-cased letters, with every run
-    of other characters as one blank and a blank at either end.
+    The 3-grams of a text are those of its letters, with every run of other
+    characters as one blank and a blank at either end.
     """
-    lowered = [(t or "").lower() for t in texts]
+    lowered = [t or "" for t in texts]
     points = np.frombuffer(" ".join([*lowered, ""]).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
     row = np.repeat(np.arange(len(lowered)), [len(t) + 1 for t in lowered])
     points = np.where(_letter_table()[points], points, 32)
@@ -87,16 +91,74 @@ def _profiles(dim: int) -> Profiles:
     return _PROFILES.get(dim) or _PROFILES.setdefault(dim, Profiles(dim))
 
 
-def _runs(texts: list[str | None]):
-    """Slices of consecutive texts of about ``_CHARS`` characters."""
+def _packed(a: str, b: str, c: str) -> int:
+    return ord(a) << 42 | ord(b) << 21 | ord(c)
+
+
+def _pieces(text: str) -> Iterator[tuple[str, list[int]]]:
+    """A lower-cased text in pieces of about ``_CHARS`` characters, cut between words.
+
+    A longer word is cut with an overlap of two letters; with such a piece come
+    the 3-grams with the false word edges, which it has too many.
+    """
+    at, extra = 0, []
+    while len(text) - at > _CHARS:
+        stop = at + _CHARS
+        while stop > at and text[stop - 1].isalpha():
+            stop -= 1
+        if stop > at:
+            yield text[at:stop], extra
+            at, extra = stop, []
+            continue
+        stop = at + _CHARS
+        y, z = text[stop - 2 : stop]
+        yield text[at:stop], [*extra, _packed(y, z, " ")]
+        at, extra = stop - 2, [_packed(" ", y, z)]
+    yield text[at:], extra
+
+
+def _counted(texts: list[str | None]) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """Consecutive texts, of about ``_CHARS`` characters together, with row, 3-gram and count of their 3-grams.
+
+    A longer text comes alone and several times, each time with a part of its
+    counts; they add up to those of the whole text.
+    """
+
+    def whole(start, stop):
+        return (slice(start, stop), *_grams(lowered[start:stop]))
+
+    lowered = [(t or "").lower() for t in texts]
     start, chars = 0, 0
-    for k, text in enumerate(texts):
-        chars += len(text or "")
+    for k, text in enumerate(lowered):
+        if len(text) > _CHARS:
+            if start < k:
+                yield whole(start, k)
+            for piece, extra in _pieces(text):
+                row, gram, count = _grams([piece])
+                more = np.array(extra, np.int64)
+                yield slice(k, k + 1), np.append(row, more * 0), np.append(gram, more), np.append(count, more * 0 - 1)
+            start, chars = k + 1, 0
+            continue
+        chars += len(text)
         if chars >= _CHARS:
-            yield slice(start, k + 1)
+            yield whole(start, k + 1)
             start, chars = k + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < len(lowered):
+        yield whole(start, len(lowered))
+
+
+def _bundles(model: Profiles, row: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """The bundled vectors of ``n`` rows; exact, because all sums of a slice are whole numbers below 2**24."""
+    out = np.zeros((n, model.dim))
+    kinds, place = np.unique(gram, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    edges = np.searchsorted(place[order], np.arange(0, len(kinds) + _BUNDLED, _BUNDLED))
+    for first, a, b in zip(range(0, len(kinds), _BUNDLED), edges[:-1], edges[1:], strict=True):
+        some, own = order[a:b], kinds[first : first + _BUNDLED]
+        counts = np.zeros((n, len(own)), np.float32)
+        np.add.at(counts.reshape(-1), row[some] * len(own) + place[some] - first, count[some].astype(np.float32))
+        out += counts @ model.vectors(own).astype(np.float32)
+    return out
 
 
 def prototypes(docs: DataFrame, text_col: str, lang_col: str, dim: int) -> dict[str, np.ndarray]:
@@ -109,18 +171,12 @@ def prototypes(docs: DataFrame, text_col: str, lang_col: str, dim: int) -> dict[
     def bundle(batches):
         model, sums = _profiles(dim), {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
-            for run in _runs(texts):
-                row, gram, count = _grams(texts[run])
-                if not len(row):
-                    continue
-                kinds, place = np.unique(gram, return_inverse=True)
-                vectors = model.vectors(kinds).astype(np.float64)
-                of = langs[run][row]
-                for lang in set(of.tolist()):
-                    mine = of == lang
-                    weights = np.bincount(place[mine], weights=count[mine], minlength=len(kinds))
-                    sums[lang] = sums.get(lang, 0) + weights @ vectors
+            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for run, row, gram, count in _counted(texts):
+                names = {lang: k for k, lang in enumerate(dict.fromkeys(langs[run]))}
+                of = np.array([names[lang] for lang in langs[run]], np.int64)
+                for lang, vector in zip(names, _bundles(model, of[row], gram, count, len(names)), strict=True):
+                    sums[lang] = sums.get(lang, 0) + vector
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))],
             ["lang", "vector"],
@@ -142,33 +198,27 @@ def identify_language(
     ``score`` is the cosine with the prototype, 0 at least. A text that is null
     or has no letter, and any text when nothing was learned, is ``und`` with
     score 0. Rows are judged one by one and by their text alone; of equal
-    cosines the first language by name wins. Other columns are ignored.
+    cosines the first language by name wins. Texts of any length are read whole,
+    in pieces that bound the memory. Other columns are ignored.
     """
     learned = prototypes(training, text_col, lang_col, dim)
     shared = docs.sparkSession.sparkContext.broadcast((list(learned), np.array(list(learned.values())).reshape(-1, dim)))
 
     def predict(batches):
         (names, matrix), model = shared.value, _profiles(dim)
-        matrix = matrix.astype(np.float32)
         for batch in batches:
-            langs, scores, texts = [], [], batch.column(1).to_pylist()
-            for run in _runs(texts):
-                row, gram, count = _grams(texts[run])
-                n = run.stop - run.start
-                best, score = np.full(n, -1), np.zeros(n)
-                if len(row) and len(names):
-                    kinds, place = np.unique(gram, return_inverse=True)
-                    vectors = model.vectors(kinds).astype(np.float32)
-                    counts = np.zeros((n, len(kinds)), np.float32)
-                    counts[row, place] = count
-                    bundles = counts @ vectors
-                    norms = np.linalg.norm(bundles, axis=1)
-                    cosines = bundles @ matrix.T / np.maximum(norms, 1e-30)[:, None]
-                    seen = norms > 0
-                    best[seen] = cosines.argmax(1)[seen]
-                    score[seen] = cosines.max(1)[seen].clip(0, 1)
-                langs += [names[b] if b >= 0 else "und" for b in best.tolist()]
-                scores += score.tolist()
+            texts = batch.column(1).to_pylist()
+            langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+            held, bundles = None, None
+            for run, row, gram, count in _counted(texts) if names else ():
+                found = _bundles(model, row, gram, count, run.stop - run.start)
+                bundles = bundles + found if run == held else found  # a further part of a long text
+                held = run
+                norms = np.linalg.norm(bundles, axis=1)
+                cosines = bundles @ matrix.T / np.maximum(norms, 1e-30)[:, None]
+                for k in np.flatnonzero(norms).tolist():
+                    langs[run.start + k] = names[int(cosines[k].argmax())]
+                    scores[run.start + k] = float(cosines[k].max().clip(0, 1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["id", "lang_pred", "score"]
             )

@@ -3,7 +3,7 @@
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -143,3 +143,35 @@ def pii_rows(docs):
 
 def is_held_out(doc):
     return zlib.crc32(str(doc).encode()) % 4 == 2
+
+
+def language(learned, texts, dim=1024, seed=11):
+    letters, known, sums = {}, {}, {}
+
+    def letter(c):
+        if c not in letters:
+            letters[c] = np.random.default_rng([seed, ord(c)]).integers(0, 2, dim, dtype=np.int8) * 2.0 - 1
+        return letters[c]
+
+    def bundle(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        total = np.zeros(dim)
+        for gram, n in Counter(f" {w} "[k : k + 3] for w in words for k in range(len(w))).items():
+            if gram not in known:
+                known[gram] = np.roll(letter(gram[0]), 2) * np.roll(letter(gram[1]), 1) * letter(gram[2])
+            total += n * known[gram]
+        return total
+
+    for text, lang in learned:
+        sums[lang] = sums.get(lang, 0) + bundle(text)
+    named = sorted((lang, v / np.linalg.norm(v)) for lang, v in sums.items() if v.any())
+    out = []
+    for text in texts:
+        v = bundle(text)
+        if not v.any() or not named:
+            out.append(("und", 0.0))
+            continue
+        cosines = [float(v @ p / np.linalg.norm(v)) for _, p in named]
+        best = int(np.argmax(cosines))
+        out.append((named[best][0], min(max(cosines[best], 0.0), 1.0)))
+    return out

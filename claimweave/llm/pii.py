@@ -225,34 +225,35 @@ def _known(graph: DataFrame) -> DataFrame:
     return graph.where("kind is not null").select("instance", F.col("kind").alias("as_kind")).distinct()
 
 
-def _reachable(graph: DataFrame, rounds: int, support: int) -> DataFrame:
+def _reachable(graph: DataFrame, support: int) -> DataFrame:
     """Patterns that could count in any round, whatever their totals: enough known instances follow them."""
-    known, able, size = _known(graph), None, -1
-    for _ in range(rounds):
+    known, size = _known(graph), -1
+    while True:
         hits = graph.join(known, "instance").groupBy("pattern", "as_kind").agg(F.count_distinct("instance").alias("instances"))
         able = cut_lineage(hits.where(F.col("instances") >= support).select("pattern", "as_kind"))
         before, size = size, able.count()
         if size == before:  # the sets only grow
-            break
+            return able.select("pattern").distinct()
         new = graph.where("kind is null").join(able, "pattern").select("instance", "as_kind")
         known = cut_lineage(known.unionByName(new).distinct())
-    return able.select("pattern").distinct()
 
 
-def bootstrap(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: float = 0.6) -> dict[int, str] | DataFrame:
+def bootstrap(docs: DataFrame, support: int = 5, confidence: float = 0.6) -> dict[int, str] | DataFrame:
     """Patterns that count, with the kind of most of their known instances; ``docs`` has text alone.
 
-    More of them than a broadcast may hold stay a table (pattern, as_kind).
+    Rounds go on until one finds no instance that is not known; as what is known
+    only grows, they end. More patterns than a broadcast may hold stay a table
+    (pattern, as_kind).
     """
     graph = cut_lineage(_graph(docs))
-    wanted = cut_lineage(_reachable(graph, rounds, support))
+    wanted = cut_lineage(_reachable(graph, support))
     if wanted.isEmpty():
         return {}
     totals = cut_lineage(_totals(docs, wanted))
     graph = cut_lineage(graph.join(totals, "pattern"))
-    known = _known(graph)
-    accepted = None
-    for _ in range(rounds):
+    known = cut_lineage(_known(graph))
+    size = known.count()
+    while True:
         hits = graph.join(known, "instance").groupBy("pattern", "as_kind", "total")
         hits = hits.agg(F.sum("n").alias("hits"), F.count_distinct("instance").alias("instances"))
         good = hits.where((F.col("instances") >= support) & (F.col("hits") >= confidence * F.col("total")))
@@ -262,6 +263,9 @@ def bootstrap(docs: DataFrame, rounds: int = 3, support: int = 5, confidence: fl
             break
         new = graph.where("kind is null").join(accepted, "pattern").select("instance", "as_kind")
         known = cut_lineage(known.unionByName(new).distinct())
+        before, size = size, known.count()
+        if size == before:
+            break
     if accepted.count() > BROADCAST_PATTERNS:
         return accepted
     return {row[0]: row[1] for row in accepted.collect()}

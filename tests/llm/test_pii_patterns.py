@@ -51,3 +51,13 @@ def test_one_rule_cuts_words():
     assert pii._patterns(text, text.index("a@b")) == [b"mail", b"e mail"]
     assert pii._patterns(text, text.index("10.0")) == [b"c", b"b c"]
     assert pii._patterns("x" * 500 + " tel:+12", 505) == [b"tel", b"x" * 500 + b" tel"] and pii._patterns("+12", 0) == []
+
+
+def test_chains_of_patterns(spark):
+    """Each context is learned from what the one before has found, seven times over."""
+    words = ["amber", "birch", "cedar", "delta", "ember", "fjord", "grove"]
+    group = [[f"+1 (200) 555-{1000 + i}" for i in range(5)], *([f"77{g}-{i}234" for i in range(5)] for g in range(1, 8))]
+    texts = [f"{w} {x} end" for k, w in enumerate(words) for x in [*group[k], *group[k], *group[k + 1]]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.find_pii(df).collect()}
+    assert all(found[k] == f"phone:6:{len(text) - 4}" for k, text in enumerate(texts))

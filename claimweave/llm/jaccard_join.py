@@ -43,8 +43,8 @@ _HEADS = 8
 _ROUNDS = 2
 #: Rows of a tile up to which its pairs are sent to the bitmaps instead of the other way round.
 _SMALL_TILE = 16
-#: Ids that are broadcast at most (16 MB as a hashed relation); more are shuffled.
-_BROADCAST_IDS = 1_000_000
+#: Rows of four numbers that are broadcast at most (64 MB as a hashed relation); more are shuffled.
+_BROADCAST_ROWS = 1_000_000
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -119,8 +119,14 @@ def frequent_ngrams(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
     return np.sort(top.to_numpy(np.int64).view(np.uint64))
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text and a hash of both, by which a row is found again even if many rows share its id."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.withColumn("row_hash", F.xxhash64("id", "text"))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int, last: np.ndarray) -> DataFrame:
-    """Per document: id, n_shingles, key (of the set), bits, heads, prefix, in one pass over the texts.
+    """Per document: id, row_hash, n_shingles, key (of the set), bits, heads, prefix, in one pass over the texts.
 
     ``heads`` are the smallest hashes, ``prefix`` is in the common order: n-grams
     outside ``last`` by hash, then the rest.
@@ -130,7 +136,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
     def sign(batches):
         late = shared.value
         for batch in batches:
-            ids, size, key, bits, heads, prefix = batch.column(0), [], [], [], [], []
+            size, key, bits, heads, prefix = [], [], [], [], []
             for grams in _sets(batch.column(1), n):
                 size.append(len(grams))
                 if not len(grams):
@@ -145,14 +151,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int
                     grams = np.concatenate([grams[~is_late], grams[is_late]])
                 prefix.append(grams[:keep].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()),
+                [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()),
                  pa.array(heads, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))],
-                ["id", "n_shingles", "key", "bits", "heads", "prefix"],
+                ["id", "row_hash", "n_shingles", "key", "bits", "heads", "prefix"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col)).mapInArrow(
-        sign, f"id {kind}, n_shingles long, key binary, bits binary, heads array<long>, prefix array<long>"
+    return _rows(docs, id_col, text_col).mapInArrow(
+        sign, f"id {kind}, row_hash long, n_shingles long, key binary, bits binary, heads array<long>, prefix array<long>"
     )
 
 
@@ -181,18 +187,19 @@ def _possible(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes, percent: int) ->
     return min(n_a - only_a, n_b - only_b) >= _needed(n_a + n_b, percent)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """Pairs whose sorted n-gram arrays intersect enough; pairs are stored rows."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = cut_lineage(wanted)
-    if wanted.count() <= _BROADCAST_IDS:
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
+    """Pairs of nodes whose sorted n-gram arrays intersect enough; pairs are stored rows."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = cut_lineage(wanted.join(classes, "node").select("node", "id", "row_hash"))
+    if wanted.count() <= _BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id", "left_semi")
+    texts = _rows(docs, id_col, text_col).join(wanted.withColumnRenamed("id", "own"), "row_hash")
+    texts = texts.where("id = own").select("node", "text")
 
     def arrays(batches):
         for batch in batches:
             grams = [g.tobytes() for g in _sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["id", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.binary())], ["node", "grams"])
 
     def decide(batches):
         for batch in batches:
@@ -204,11 +211,10 @@ def _linked(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, n: in
                 keep.append(100 * common >= percent * (len(a) + len(b) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    grams = texts.mapInArrow(arrays, f"id {kind}, grams binary").dropDuplicates(["id"])
-    side = lambda x: grams.select(F.col("id").alias(x), F.col("grams").alias(f"grams_{x}"))
+    grams = texts.mapInArrow(arrays, "node long, grams binary").dropDuplicates(["node"])
+    side = lambda x: grams.select(F.col("node").alias(x), F.col("grams").alias(f"grams_{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "grams_a", "grams_b")
-    return cut_lineage(joined.mapInArrow(decide, f"a {kind}, b {kind}"))
+    return cut_lineage(joined.mapInArrow(decide, "a long, b long"))
 
 
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
@@ -274,31 +280,35 @@ def _hub_pairs(reps: DataFrame, joined: DataFrame) -> DataFrame:
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
-    """``(id, n_shingles, class_id, component_id)`` for every row of ``docs``.
+    """``(id, n_shingles, class_id, component_id, kept, row_hash)`` for every row of ``docs``.
 
     Words are runs of non-blank bytes with A-Z lower-cased; a document's set is
     its distinct ``n``-word shingles, or its whole word sequence if shorter.
     Documents link when 100 * intersection >= percent * union. ``class_id`` is
     the smallest id with the same set, ``component_id`` the smallest id
-    reachable by links. N-grams are compared by 64-bit hashes.
+    reachable by links. ``kept`` marks one row of each component (and its exact
+    repeats), every row without words and every row without an id; ``row_hash``
+    is ``xxhash64`` of id and text. N-grams are compared by 64-bit hashes.
 
     Null texts and texts without words have size 0, link with nothing and are
-    their own class. Rows that repeat an id all get that id's component; rows
+    their own class. Rows that repeat an id are judged each by its own text; rows
     without an id join nothing but may be copies of a row with one, whose ids
     they then show, else null. Other columns are ignored.
     """
     last = frequent_ngrams(docs, text_col, n)
     signed = cut_lineage(signatures(docs, id_col, text_col, n, percent, last))
-    classes = signed.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("class_id"))
-    classes = cut_lineage(classes)
-    ids = classes.where("class_id is not null").select(F.col("class_id").alias("id"), "key")
-    reps = cut_lineage(signed.join(ids, ["id", "key"]).dropDuplicates(["id"]).drop("key"))
+    named = F.when(F.col("id").isNotNull(), F.struct("id", "row_hash"))
+    classes = signed.where("n_shingles > 0").groupBy("key").agg(F.min(named).alias("rep"))
+    classes = classes.select("key", "rep.id", "rep.row_hash", F.monotonically_increasing_id().alias("node"))
+    classes = cut_lineage(classes)  # stored, so that the numbers stay
+    reps = signed.join(classes.where("id is not null").drop("key"), ["row_hash", "id"]).dropDuplicates(["node"])
+    reps = cut_lineage(reps.select(F.col("node").alias("id"), "n_shingles", "bits", "heads", "prefix"))
 
     first = None
     joined = reps.select("id", F.col("id").alias("component"))
     for _ in range(_ROUNDS):
         near = _hub_pairs(reps, joined)
-        found = _linked(cut_lineage(_bounded(near, reps, percent)), docs, id_col, text_col, n, percent)
+        found = _linked(cut_lineage(_bounded(near, reps, percent)), classes, docs, id_col, text_col, n, percent)
         first = found if first is None else cut_lineage(first.unionByName(found))
         joined = cut_lineage(_placed(reps, connected_components(first)))
 
@@ -322,15 +332,21 @@ def ngram_jaccard_join(
     small = _tile_pairs(banded.where(F.col("rows") <= _SMALL_TILE).withColumn("bits", F.lit(None).cast("binary")), percent)
     large = _tile_pairs(banded.where(F.col("rows") > _SMALL_TILE).join(reps.select("id", "bits"), "id"), percent)
     rest = cut_lineage(_bounded(cut_lineage(small), reps, percent).unionByName(large).distinct())
-    second = _linked(rest, docs, id_col, text_col, n, percent)
+    second = _linked(rest, classes, docs, id_col, text_col, n, percent)
     whole = connected_components(first.unionByName(second))
 
-    found = classes.join(whole.withColumnRenamed("node", "class_id"), "class_id", "left")
-    found = found.select("key", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    full = signed.select("id", "n_shingles", "key").join(found, "key", "left")
+    least = classes.join(whole, "node").groupBy("component").agg(F.min(F.struct("id", "row_hash")).alias("least"))
+    least = whole.join(least, "component").select("node", "least")
+    found = classes.join(least, "node", "left").withColumn("least", F.coalesce("least", F.struct("id", "row_hash")))
+    found = found.select("key", F.col("id").alias("class_id"), "least")
+    full = signed.select("id", "row_hash", "n_shingles", "key").join(found, "key", "left")
+    alone = F.col("n_shingles") == 0
+    first = (F.col("id") == F.col("least.id")) & (F.col("row_hash") == F.col("least.row_hash"))
     return full.select(
         F.col("id").alias(id_col),
         "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, F.col("id")).otherwise(F.col("least.id")).alias("component_id"),
+        (alone | F.col("id").isNull() | first).alias("kept"),
+        "row_hash",
     )

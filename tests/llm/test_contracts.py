@@ -2,7 +2,10 @@
 
 import base64
 import hashlib
+import random
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -300,6 +303,60 @@ def test_pii_finds_unseen_identifiers(spark):
     assert found[50] == "phone:25:37" and found[51] == "" and found[0].startswith("phone:25:")
 
 
+def test_ids_that_name_several_texts(spark):
+    """Rows are compared each by its own text, however many share an id."""
+    rng = random.Random(3)
+    text = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(3)]
+    near = [" ".join(words[:-2] + ["other", "end"]) for words in text]
+    made = [(1, " ".join(text[0])), (2, " ".join(text[1])), (7, near[0]), (7, near[1]), (7, near[1]), (7, " ".join(text[2])), (9, near[2]), (None, near[0])]
+    made += [(8, f"{k} " + " ".join(text[2])) for k in range(40)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    found = sorted(tuple(r[c] for c in ("doc_id", "component_id")) for r in jaccard_join.ngram_jaccard_join(df.where("doc_id is not null")).collect())
+    assert found == sorted([(1, 1), (2, 2), (7, 1), (7, 2), (7, 2), (7, 7), (9, 7)] + [(8, 7)] * 40)
+    found = [r for r in jaccard_join.ngram_jaccard_join(df).collect() if r.doc_id is None]
+    assert [(r.class_id, r.component_id) for r in found] == [(7, 1)]
+    docs = df.withColumn("row_hash", F.lit("clash")).withColumn("kept", F.lit("clash"))
+    left = corpus_pipeline.one_of_near_copies(spark, docs, "").collect()
+    assert Counter(r.doc_id for r in left) == {1: 1, 2: 1, 7: 1, None: 1}
+    assert {r.text for r in left if r.doc_id == 7} == {" ".join(text[2])}
+    again = corpus_pipeline.one_of_near_copies(spark, docs.unionByName(docs), "").collect()
+    assert Counter(r.doc_id for r in again) == {1: 1, 2: 1, 7: 1, None: 2}
+
+
+def test_language_brute(spark, sf_dir, docs, awkward):
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
+    learned = [(text, langs[d]) for d, text in docs if langs[d] is not None and zlib.crc32(str(d).encode()) % 4 != 2]
+    expected = brute.language(learned, [text for _, text in docs])
+    found = {r.doc_id: (r.lang_pred, r.score) for r in queries.op9_language_id(spark, sf_dir).collect()}
+    assert [found[d][0] for d, _ in docs] == [lang for lang, _ in expected]
+    np.testing.assert_allclose([found[d][1] for d, _ in docs], [score for _, score in expected], atol=1e-9)
+    texts = [t for _, t, _ in AWKWARD]
+    expected = brute.language([(t, lang) for _, t, lang in AWKWARD if lang is not None], texts)
+    edge = sorted(r.score for r in language_id.identify_language(awkward, awkward).collect())
+    np.testing.assert_allclose(edge, sorted(score for _, score in expected), atol=1e-9)
+    assert language_id.identify_language(awkward.limit(0), awkward).count() == 0
+
+
+def test_language_of_long_texts(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(language_id, "_CHARS", 40)
+    for letters in ("ab", "abcİΣß ", "xy,. 中文"):
+        texts = ["".join(rng.choices(letters, k=rng.choice((0, 1, 39, 40, 41, 42, 80, 83, 500)))) for _ in range(60)]
+        sums = Counter()
+        for run, row, gram, count in language_id._counted(texts):
+            for r, g, c in zip(row.tolist(), gram.tolist(), count.tolist(), strict=True):
+                sums[run.start + r, g] += c
+        row, gram, count = language_id._grams([t.lower() for t in texts])
+        assert {k: c for k, c in sums.items() if c} == dict(zip(zip(row.tolist(), gram.tolist()), count.tolist()))
+    monkeypatch.undo()
+    text = "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(100_000))  # one word of as many different 3-grams
+    tracemalloc.start()
+    parts = [language_id._bundles(language_id.Profiles(1024), row, gram, count, 1) for _, row, gram, count in language_id._counted([text])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) == 1 and peak < 200e6
+
+
 def test_language(spark, sf_dir, awkward):
     truth = dict(zip(*pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "lang"]).to_pydict().values(), strict=True))
     found = queries.op9_language_id(spark, sf_dir).collect()

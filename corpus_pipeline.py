@@ -14,8 +14,8 @@ from claimweave.llm import byte_bpe, decontaminate, jaccard_join, pii, quality
 from claimweave.llm.queries import BYTE_RANKS, MIN_QUALITY, PATTERN, held_out, reachable, table
 from claimweave.storage import cut_lineage
 
-#: Ids that are broadcast at most (16 MB as a hashed relation); more are shuffled.
-_BROADCAST_IDS = 1_000_000
+#: Names of rows (id and hash) that are broadcast at most (50 MB as a hashed relation); more are shuffled.
+_BROADCAST_ROWS = 500_000
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,15 +25,24 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of every group of near copies, and one row of an id; rows without an id stay."""
+    """Keep one row of every group of near copies, of its smallest id; texts that share an id are judged each by itself.
+
+    Rows that repeat id and text count once; rows without an id stay.
+    """
     reachable(spark)
     found = jaccard_join.ngram_jaccard_join(docs)
-    gone = cut_lineage(found.where("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.join(F.broadcast(gone) if gone.count() <= _BROADCAST_IDS else gone, "doc_id", "left_anti")
-    again = cut_lineage(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+
+    def same(rows: DataFrame):
+        return (docs["doc_id"] == rows["doc_id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == rows["row_hash"])
+
+    gone = cut_lineage(found.where("not kept").select("doc_id", "row_hash").distinct())
+    kept = docs.join(F.broadcast(gone) if gone.count() <= _BROADCAST_ROWS else gone, same(gone), "left_anti")
+    again = found.where("kept and doc_id is not null").groupBy("doc_id", "row_hash").count().where("count > 1")
+    again = cut_lineage(again.select("doc_id", "row_hash"))
     if again.isEmpty():
         return kept
-    return kept.join(again, "doc_id", "left_anti").unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    once = kept.join(again, same(again), "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, same(again), "left_anti").unionByName(once)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,15 @@ def test_query(spark, duck, sf_dir, name):
     expected = [tuple(r[order.index(c)] for c in columns) for r in expected]
     assert actual
     assert sorted(actual, key=repr) == sorted(expected, key=repr)
+
+
+def test_numbers_from_values_that_are_not_finite(spark, tmp_path):
+    """Both engines read the same text out of a value, also where each spells it in its own way."""
+    values = "unnest(['nan', 'inf', '-inf', '-0.0', '1e-7', '1e22', '2.5', null]::double[]) as value"
+    made = f"select k * 23 + 15 + j as event_id, {values}, timestamp '2024-01-01' as ts from range(3) a(k), range(3) b(j)"
+    duckdb.sql(f"copy ({made}) to '{tmp_path}/events.parquet'")
+    connection = duckdb.connect()
+    connection.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    expected = connection.execute(oracle.oracle_sql()["clean_numbers"]).fetchall()
+    actual = [tuple(r) for r in registry.queries()["clean_numbers"](spark, str(tmp_path)).collect()]
+    assert sorted(actual, key=repr) == sorted(expected, key=repr) and len(actual) == 72

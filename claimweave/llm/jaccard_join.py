@@ -13,8 +13,10 @@ decided by intersecting the sorted n-gram arrays.
 What is asked for is the connected components, so pairs that are already
 connected need no decision. That keeps groups of thousands of near copies
 linear: first every representative meets the smallest one in each tile of its
-few smallest n-gram hashes, which connects nearly all of them, and then the
-prefix tiles only look at pairs of different components.
+few smallest n-gram hashes, which connects nearly all of them. What is left of such
+groups is connected in rounds, in which each document of a large prefix tile
+meets one other, the nearest by bitmap. Only then all pairs of the prefix tiles
+are looked at, which by now are of different components.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ _FREQUENT = 524_288
 _HEADS = 8
 #: How often that is done; the second time between what the first has connected.
 _ROUNDS = 2
+#: How often at most the large tiles then join each document to its nearest one, while that finds links.
+_NEAREST_ROUNDS = 2
 #: Rows of a tile up to which its pairs are sent to the bitmaps instead of the other way round.
 _SMALL_TILE = 16
 #: Rows of four numbers that are broadcast at most (64 MB as a hashed relation); more are shuffled.
@@ -217,43 +221,109 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     return cut_lineage(joined.mapInArrow(decide, "a long, b long"))
 
 
+def _sorted_tiles(tiles: DataFrame) -> DataFrame:
+    """The rows of a tile together and by size, those at home before visitors."""
+    parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = tiles.repartition(parts, "gram", "band")
+    return placed.sortWithinPartitions("gram", "band", "n_shingles", F.desc("home"), "id")
+
+
+def _pair_schema(tiles: DataFrame) -> str:
+    kind = tiles.schema["id"].dataType.simpleString()
+    return f"a {kind}, b {kind}"
+
+
+class _Earlier:
+    """The rows of a tile that came before, in order of size; one matrix of bitmaps for each width."""
+
+    def __init__(self):
+        self.widths: dict[int, list] = {}
+
+    def add(self, size: int, doc: int, component: int, words: np.ndarray) -> None:
+        group = self.widths.setdefault(len(words), [0, 0, np.empty((16, len(words)), np.uint64), np.empty((4, 16), np.int64)])
+        first, rows, bits, numbers = group
+        if rows == len(bits):
+            bits = np.concatenate([bits[first:], np.empty_like(bits)])
+            numbers = np.concatenate([numbers[:, first:], np.empty_like(numbers)], axis=1)
+            first, rows = 0, rows - first
+        bits[rows], numbers[:, rows] = words, (size, doc, component, int(np.bitwise_count(words).sum()))
+        group[:] = first, rows + 1, bits, numbers
+
+    def possible(self, size: int, component: int, words: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Documents of other components that the bit counts leave possible, and the share of common n-grams they leave."""
+        found = [(np.empty(0, np.int64), np.empty(0))]
+        for width, group in self.widths.items():
+            first, rows, bits, numbers = group
+            group[0] = first = first + int(np.searchsorted(numbers[0, first:rows] * 100, size * percent))
+            folded = _fold(words, width)
+            sizes, docs, components, ones = numbers[:, first:rows]
+            both = np.bitwise_count(bits[first:rows] & folded).sum(axis=1, dtype=np.int64)
+            common = np.minimum(sizes - ones, size - int(np.bitwise_count(folded).sum())) + both
+            fit = (components != component) & (common >= _needed(sizes + size, percent))
+            found.append((docs[fit], common[fit] / (sizes[fit] + size)))
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _nearest_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """In each (gram, band) tile, every document with the nearest earlier one of another component: at most a pair a row."""
+
+    def nearest(batches):
+        tile, earlier = None, _Earlier()
+        for batch in batches:
+            out_a, out_b = [], []
+            columns = [batch.column(c).to_pylist() for c in ("gram", "band", "n_shingles", "id", "component", "home", "bits")]
+            for gram, band, size, doc, component, home, bits in zip(*columns, strict=True):
+                words = np.frombuffer(bits, np.uint64)
+                if (gram, band) != tile:
+                    tile, earlier = (gram, band), _Earlier()
+                if home:
+                    others, shares = earlier.possible(size, component, words, percent)
+                    if len(others):
+                        x = int(others[np.argmax(shares)])
+                        out_a.append(min(x, doc)), out_b.append(max(x, doc))
+                earlier.add(size, doc, component, words)
+            if out_a:
+                kind = batch.column("id").type
+                yield pa.RecordBatch.from_arrays([pa.array(out_a, kind), pa.array(out_b, kind)], ["a", "b"])
+
+    return _sorted_tiles(tiles).mapInArrow(nearest, _pair_schema(tiles)).distinct()
+
+
 def _tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different components within each (gram, band) tile, by bit counts where there are bits.
 
-    Rows arrive sorted by tile and size. A tile's earlier rows are kept only
-    while their size can still reach the present one.
+    Rows arrive sorted by tile and size. Of a tile's earlier rows only those are
+    looked at whose size can still reach the present one.
     """
 
     def compare(batches):
-        tile, held = None, []  # of the open tile: (size, id, component, home, words)
+        tile, held, earlier = None, [], _Earlier()  # of the open tile, without and with bitmaps
         seen: set[tuple] = set()  # a pair meets in many tiles; a task reports it once while it remembers
         for batch in batches:
             out_a, out_b = [], []
             columns = [batch.column(c).to_pylist() for c in ("gram", "band", "n_shingles", "id", "component", "home", "bits")]
             for gram, band, size, doc, component, home, bits in zip(*columns, strict=True):
-                words = np.frombuffer(bits, np.uint64) if bits else None
                 if (gram, band) != tile:
-                    tile, held = (gram, band), []
-                held = [x for x in held if x[0] * 100 >= size * percent] if held and held[0][0] * 100 < size * percent else held
-                for n_x, x, component_x, home_x, words_x in held if home else ():
-                    if component_x == component:
-                        continue
+                    tile, held, earlier = (gram, band), [], _Earlier()
+                if bits:
+                    words = np.frombuffer(bits, np.uint64)
+                    others = earlier.possible(size, component, words, percent)[0].tolist() if home else ()
+                    earlier.add(size, doc, component, words)
+                else:
+                    others = [x for n_x, x, other in held if other != component and n_x * 100 >= size * percent] if home else ()
+                    held.append((size, doc, component))
+                for x in others:
                     pair = (min(x, doc), max(x, doc))
                     if pair not in seen:
                         seen.add(pair)
-                        if words is None or _possible(n_x, words_x, size, words, percent):
-                            out_a.append(pair[0]), out_b.append(pair[1])
-                held.append((size, doc, component, home, words))
+                        out_a.append(pair[0]), out_b.append(pair[1])
             if len(seen) > 200_000:
                 seen.clear()
             if out_a:
                 kind = batch.column("id").type
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, kind), pa.array(out_b, kind)], ["a", "b"])
 
-    kind = tiles.schema["id"].dataType.simpleString()
-    parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = tiles.repartition(parts, "gram", "band").sortWithinPartitions("gram", "band", "n_shingles", F.desc("home"), "id")
-    return placed.mapInArrow(compare, f"a {kind}, b {kind}").distinct()
+    return _sorted_tiles(tiles).mapInArrow(compare, _pair_schema(tiles)).distinct()
 
 
 def _placed(reps: DataFrame, components: DataFrame) -> DataFrame:
@@ -277,6 +347,20 @@ def _hub_pairs(reps: DataFrame, joined: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _open(rows: DataFrame, *tile: str) -> DataFrame:
+    """Rows of the tiles that hold more than one component."""
+    over = Window.partitionBy(*tile)
+    ends = rows.withColumn("low", F.min("component").over(over)).withColumn("high", F.max("component").over(over))
+    return ends.where("low < high").drop("low", "high")
+
+
+def _banded(places: DataFrame, joined: DataFrame) -> DataFrame:
+    """The places in open (gram, band) tiles, stored, with the component now known and the rows of the tile."""
+    tile = ("gram", "band")
+    rows = _open(places.join(joined, "id"), *tile).withColumn("rows", F.count("*").over(Window.partitionBy(*tile)))
+    return cut_lineage(rows.select(*tile, "n_shingles", "id", "component", "home", "rows"))
+
+
 def ngram_jaccard_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -313,21 +397,21 @@ def ngram_jaccard_join(
         joined = cut_lineage(_placed(reps, connected_components(first)))
 
     grams = reps.select("id", F.explode("prefix").alias("gram")).join(joined, "id")
-    over = Window.partitionBy("gram")
-    open_tiles = (
-        grams.withColumn("low", F.min("component").over(over))
-        .withColumn("high", F.max("component").over(over))
-        .where("low < high")
-        .select("gram", "id", "component")
-    )
+    open_tiles = _open(grams, "gram").select("gram", "id")
     # A document is at home in the band of its own size and visits the next one.
     band = F.floor(F.log("n_shingles") / F.log(F.lit(100.0 / percent)))
     places = F.array(*(F.struct((band + k).alias("band"), F.lit(k == 0).alias("home")) for k in (0, 1)))
     banded = open_tiles.join(reps.select("id", "n_shingles"), "id").select("*", F.explode(places).alias("at"))
-    over = Window.partitionBy("gram", "at.band")
-    banded = banded.withColumn("low", F.min("component").over(over)).withColumn("high", F.max("component").over(over))
-    banded = banded.where("low < high").withColumn("rows", F.count("*").over(over))
-    banded = cut_lineage(banded.select("gram", "at.band", "n_shingles", "id", "component", "at.home", "rows"))
+    banded = _banded(banded.select("gram", "at.band", "n_shingles", "id", "at.home"), joined)
+    for _ in range(_NEAREST_ROUNDS):
+        crowded = banded.where(F.col("rows") > _SMALL_TILE)
+        near = cut_lineage(_nearest_pairs(crowded.join(reps.select("id", "bits"), "id"), percent))
+        found = _linked(near, classes, docs, id_col, text_col, n, percent)
+        if found.isEmpty():
+            break
+        first = cut_lineage(first.unionByName(found))
+        joined = cut_lineage(_placed(reps, connected_components(first)))
+        banded = _banded(banded.drop("component", "rows"), joined)
     # Bitmaps travel to the large tiles; from small ones it is the few pairs that travel to the bitmaps.
     small = _tile_pairs(banded.where(F.col("rows") <= _SMALL_TILE).withColumn("bits", F.lit(None).cast("binary")), percent)
     large = _tile_pairs(banded.where(F.col("rows") > _SMALL_TILE).join(reps.select("id", "bits"), "id"), percent)

@@ -100,7 +100,9 @@ def claims_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def segment_full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["ProviderSystem", "ProviderKey", "TIN", "ReportingPeriod"]
-    summary = _claims(claims_ops.claims_summary, "tin", "month", spark, sf_dir)
+    # The sides show two segments; each segment is summed by itself, so the others need not be.
+    claims = build(spark, sf_dir, "claims").where(F.col("BusinessSegmentIdentifier").isin("E&I", "C&S"))
+    summary = claims_ops.claims_summary(claims, build(spark, sf_dir, "lookup"), "tin", "month")
     segment, denied = F.col("Segment"), F.col("ClaimsDenied")
     sides = {
         "paid": (segment == "E&I", {"ClaimsPaid": lambda c: F.sum(c("ClaimsPaid"))}),

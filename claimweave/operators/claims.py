@@ -1,7 +1,7 @@
 """Claims summaries and documents per provider system or tax ID, by month or year.
 
-The fact table is reduced to one row per tax ID, period, segment and denial
-category before anything else happens to it. Everything after that -- provider
+The fact table is reduced to one row per tax ID, period, segment and (where
+asked for) denial category before anything else happens to it. Everything after that -- provider
 lookup, totals over segments, documents -- works on the reduced rows, so the
 claims are scanned and shuffled once, and a tax ID or a provider system with a
 large share of all claims is already collapsed on the map side.
@@ -69,8 +69,8 @@ def _is_denied() -> Column:
     return F.coalesce(F.col("PaidOrDeniedCode") == "D", F.lit(False))
 
 
-def reduce_claims(claims: DataFrame, period: str) -> DataFrame:
-    """One row per tax ID, period, segment, denied or not, and denial category."""
+def reduce_claims(claims: DataFrame, period: str, detail: bool = True) -> DataFrame:
+    """One row per tax ID, period and segment; with ``detail`` also per denied or not, and denial category."""
     denied = _is_denied()
     final = F.col("FinalPassIndicator") == "Y"
     paid = (F.col("PaidOrDeniedCode") == "P") & final
@@ -78,13 +78,14 @@ def reduce_claims(claims: DataFrame, period: str) -> DataFrame:
     def total(condition: Column, column: str) -> Column:
         return F.sum(F.when(condition, F.col(column)).otherwise(F.lit(0)))
 
-    return claims.groupBy(
+    grain = [
         F.col("providertin"),
         _period(period).alias("ReportingPeriod"),
         F.col("BusinessSegmentIdentifier").alias("Segment"),
-        denied.alias("Denied"),
-        F.when(denied, F.col("ClaimDenialCategoryLevel1ShortName")).alias("Category"),
-    ).agg(
+    ]
+    if detail:
+        grain += [denied.alias("Denied"), F.when(denied, F.col("ClaimDenialCategoryLevel1ShortName")).alias("Category")]
+    return claims.groupBy(*grain).agg(
         total(paid, "masteridclaimcount").alias("ClaimsPaid"),
         total(denied, "masteridclaimcount").alias("ClaimsDenied"),
         total(denied, "EstimatedAllowedSelectDeniedAmount").alias("AmountDenied"),
@@ -94,11 +95,11 @@ def reduce_claims(claims: DataFrame, period: str) -> DataFrame:
     )
 
 
-def _with_providers(claims: DataFrame, lookup: DataFrame, level: str, period: str) -> DataFrame:
+def _with_providers(claims: DataFrame, lookup: DataFrame, level: str, period: str, detail: bool = True) -> DataFrame:
     names = {"healthcareorganizationname": "ProviderSystem", "providersyskey": "ProviderKey"}
     if level == "tin":
         names["formattedtin"] = "TIN"
-    return attach_providers(reduce_claims(claims, period), "providertin", lookup, names, _SUMS)
+    return attach_providers(reduce_claims(claims, period, detail), "providertin", lookup, names, _SUMS)
 
 
 def _sums() -> list[Column]:
@@ -126,7 +127,7 @@ def _segment_or_all() -> Column:
 def claims_summary(claims: DataFrame, lookup: DataFrame, level: str, period: str) -> DataFrame:
     """The twelve measures per provider, period and segment, plus segment ``ALL``."""
     keys = _keys(level)
-    rows = _with_providers(claims, lookup, level, period)
+    rows = _with_providers(claims, lookup, level, period, detail=False)
     totals = with_totals(rows, keys, "Segment", _sums())
     return totals.withColumn("ReportingPeriod", _period_text(period)).select(*keys, _segment_or_all(), *_measures())
 
@@ -153,20 +154,23 @@ def claims_denials(claims: DataFrame, lookup: DataFrame, level: str, period: str
 def _document_parts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The sums a document is made of: per block one summary, and one row per denial category.
 
-    All four grains (with and without segment, with and without category) come
-    from one pass over the reduced rows.
+    Every reduced row is copied only to the parts it counts in: the summary of
+    ``ALL``, that of its own block if its segment has one, and the same two
+    denial categories if it is denied. Grouping sets would copy each one four times.
     """
-    detail = ["Denied", "Category"]
-    grains = [[*keys, "Segment", *detail], [*keys, "Segment"], [*keys, *detail], keys]
-    parts = rows.groupingSets(grains, *keys, "Segment", *detail).agg(
-        F.grouping("Segment").alias("is_total"), F.grouping("Denied").alias("is_summary"), *_sums()
-    )
-    block = F.when(F.col("is_total") == 1, F.lit(ALL))
+    own = F.lit(None).cast("string")
     for segment, name in BLOCKS.items():
-        block = block.when(F.col("Segment") == segment, F.lit(name))
-    return parts.withColumn("Block", block).filter(
-        F.col("Block").isNotNull() & ((F.col("is_summary") == 1) | F.col("Denied"))
+        own = F.when(F.col("Segment") == segment, F.lit(name)).otherwise(own)
+
+    def part(block: Column, is_summary: int) -> Column:
+        category = F.lit(None).cast(rows.schema["Category"].dataType) if is_summary else F.col("Category")
+        return F.struct(block.alias("Block"), F.lit(is_summary).alias("is_summary"), category.alias("Category"))
+
+    parts = [part(block, is_summary) for is_summary in (1, 0) for block in (F.lit(ALL), own)]
+    opened = rows.withColumn("_part", F.explode(F.array(*parts))).filter(
+        F.col("_part.Block").isNotNull() & ((F.col("_part.is_summary") == 1) | F.col("Denied"))
     )
+    return opened.groupBy(*keys, "_part.Block", "_part.is_summary", "_part.Category").agg(*_sums())
 
 
 def claims_documents(claims: DataFrame, lookup: DataFrame, level: str = "tin", period: str = "month") -> DataFrame:

@@ -104,3 +104,10 @@ def test_shared_folder_is_required_on_a_cluster():
     with pytest.raises(ValueError):
         shared_folder(session("yarn", None))
     assert shared_folder(session("local[2]", None)) == shared_folder(session("local[2]", None))
+
+
+def test_claims_are_reduced_to_the_grain_that_is_asked_for(stored):
+    """Summaries are not split by denial category, and documents copy no row to parts that it does not count in."""
+    scan = scans(physical(claims_summary(stored.claims, stored.lookup, "tin", "month")), "providertin")[0]
+    assert "ClaimDenialCategoryLevel1ShortName" not in scan.split("ReadSchema")[-1]
+    assert "Expand" not in physical(claims_documents(stored.claims, stored.lookup, "tin", "month"))

@@ -34,17 +34,22 @@ from claimweave.storage import scratch_path
 
 #: Bytes after which a shard ends; a longer record forms a shard of its own.
 SHARD_BYTES = 16_000_000
-#: Distinct words, and pieces of words, of one generation that a worker remembers.
-_REMEMBERED = 250_000
+#: Distinct pieces of words of one generation that a worker remembers.
+_REMEMBERED = 500_000
 #: Bytes of records that a reader holds at once, if more than one.
 _READ_BYTES = 16_000_000
-#: Characters encoded together.
-_CHARS = 1_000_000
+#: Bytes of text whose distinct pieces are sought together, and of a slice taken apart at once.
+_BYTES, _SLICE = 16_000_000, 1_000_000
 #: Fixed value of masked checksums.
 _MASK = 0xA282EAD8
 #: The steps before the model for which words can be taken apart here.
 _OUTLINE = [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]]
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Pieces that reach the model in one call, and how the last token of a piece ends.
+_TOGETHER, _LAST = 2_000, "</w>"
+_SPACES = re.compile(rb"[ \t-\r]")
+#: Kinds of bytes: white space, of a letter, a digit, any other plain character, and what makes the library do a word whole.
+_SPACE, _LETTER, _DIGIT, _OTHER, _WHOLE = range(5)
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -92,78 +97,172 @@ class WordEncoder:
     """Ids of whole texts as the tokenizers library encodes them.
 
     The tokenizer must drop white space and never join across it, as the one
-    with word ends does. Then the ids of a text are those of its words, and the
-    library encodes each distinct word once. Where the tokenizer's steps before
-    its model are the known ones, words of plain Latin letters reach the model
-    as pieces that are remembered in lower case; the library does all others whole.
+    with word ends does. Then the ids of a text are those of its words. Where
+    the tokenizer's steps before its model are the known ones, words of plain
+    Latin characters are taken apart for a whole slice of texts at once, and
+    each distinct piece reaches the model once, in lower case. The library does
+    all other words whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.whole = Tokenizer.from_file(path)
         spec = json.loads(self.whole.to_str())
         steps = spec["normalizer"], spec["pre_tokenizer"]
         outline = [[s["type"] for s in step.get("normalizers", step.get("pretokenizers", [step]))] if step else [] for step in steps]
         cut = steps[1].get("pretokenizers", [{}])[0] if steps[1] else {}
-        self.by_piece = outline == _OUTLINE and cut.get("pattern") == {"Regex": _PIECE} and cut.get("behavior") == "Removed"
-        self.model, self.plain = self.whole.model, re.compile("[!-~\xa1-\xac\xae-\xff]+")
-        self.piece = regex.compile(_PIECE)
+        by_piece = outline == _OUTLINE and cut.get("pattern") == {"Regex": _PIECE} and cut.get("behavior") == "Removed"
+        by_piece = by_piece and spec["model"].get("end_of_word_suffix") == _LAST and all("|" in token["content"] for token in spec["added_tokens"])
+        # The model alone, for many spelled pieces in a row; a piece ends with an id of ``is_last``.
+        self.model = Tokenizer(self.whole.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        vocabulary = self.model.get_vocab()
+        self.is_last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_last[[i for token, i in vocabulary.items() if token.endswith(_LAST)]] = True
         # The model's letter for each byte, as the library's byte-level step writes it.
         letters = {b: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0] for b in range(128)}
         alphabet = set(ByteLevel.alphabet()) - set(letters.values())
         high = {b: chr(b) for b in range(128, 256) if chr(b) in alphabet}
         rest = sorted(alphabet - set(high.values()))
         high |= dict(zip((b for b in range(128, 256) if b not in high), rest, strict=True))
-        self.letters = str.maketrans({chr(b): c for b, c in (letters | high).items()})
-        self.words = Memo(_REMEMBERED, self._encode_words)
-        self.pieces = Memo(_REMEMBERED, self._encode_pieces)
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        tokenize = self.model.tokenize
-        spelled = (p.encode().decode("latin-1").translate(self.letters) for p in pieces)
-        return [np.array([t.id for t in tokenize(s)], np.uint32).tobytes() for s in spelled]
-
-    def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        out, split, rest = [b""] * len(words), [], []
-        for i, word in enumerate(words):
-            text = word.decode()
-            if self.by_piece and self.plain.fullmatch(text) and "<|" not in text:
-                low = text.lower()
-                split.append((i, (low,) if low.isalpha() else self.piece.findall(low)))
-            else:
-                rest.append((i, text))
-        known = self.pieces.learn({p for _, parts in split for p in parts})
-        for i, parts in split:
-            out[i] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-        if rest:
-            got = self.whole.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
-            for (i, _), encoding in zip(rest, got, strict=True):
-                out[i] = np.array(encoding.ids, np.uint32).tobytes()
+        self.letters = str.maketrans({chr(b): c for b, c in (letters | high).items()} | {" ": " "})
+        # Kind and lower case of each byte; of those that follow 0xC2 and 0xC3, in rows 1 and 2.
+        self.kinds, self.lower = np.full((3, 256), _WHOLE, np.uint8), np.tile(np.arange(256, dtype=np.uint8), (3, 1))
+        self.kinds[0, list(b" \t\n\r\x0b\x0c")] = _SPACE
+        plain = [c for c in map(chr, range(256)) if by_piece and regex.fullmatch(r"[!-~\xa1-\xac\xae-\xff--'|²³¹¼½¾]", c, regex.V1)]
+        for c in plain:
+            *lead, last = c.encode()
+            at = lead[0] - 0xC1 if lead else 0
+            self.kinds[at, last] = _LETTER if regex.match(r"\p{L}", c) else _DIGIT if regex.match(r"\p{N}", c) else _OTHER
+            self.lower[at, last] = c.lower().encode()[-1]
+        self.kinds_1, self.lower_1 = self.kinds[0].tobytes(), self.lower[0].tobytes()
+        self.plain = re.compile(f"[{re.escape(''.join(plain))}]+" if plain else "(?!)")
+        self.known = Memo(_REMEMBERED, self._encode_pieces)
+
+    def _encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        out, split, rest = [b""] * len(pieces), [], []
+        for i, piece in enumerate(pieces):
+            (split if self.plain.fullmatch(piece.decode()) else rest).append(i)
+        for at in range(0, len(split), _TOGETHER):
+            some = split[at : at + _TOGETHER]
+            spelled = b" ".join([pieces[i] for i in some]).decode("latin-1").translate(self.letters)
+            ids = np.array(self.model.encode_batch_fast([spelled], add_special_tokens=False)[0].ids, "<u4")
+            stops = (np.flatnonzero(self.is_last[ids]) + 1) * 4
+            held, start = ids.tobytes(), 0
+            for i, stop in zip(some, stops.tolist(), strict=True):
+                out[i], start = held[start:stop], stop
+        got = self.whole.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)
+        for i, encoding in zip(rest, got, strict=True):
+            out[i] = np.array(encoding.ids, "<u4").tobytes()
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
-        known = self.words.learn(set().union(*split))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-def encode_words(path: str, texts: list[str | None], end_id: int) -> Iterator[np.ndarray]:
-    """Ids of each text and ``end_id``, with one encoder per worker and file."""
+    def _pieces(self, data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of whole words in UTF-8 ``data``, and how many start before each of ``ends``, where texts end."""
+        held, size = bytearray(data), len(data)
+        kind, low = (np.frombuffer(held.translate(table), np.uint8) for table in (self.kinds_1, self.lower_1))
+        lead = np.flatnonzero((data & 0xFE) == 0xC2)
+        lead = lead[lead < size - 1]
+        row, last = data[lead] - 0xC1, data[lead + 1]
+        kind[lead] = kind[lead + 1] = self.kinds[row, last]
+        low[lead + 1] = self.lower[row, last]
+        cut = np.zeros(size + 1, bool)
+        cut[0] = True
+        cut[ends] = True
+        odd = np.flatnonzero(kind == _WHOLE)
+        if len(odd):  # a word with such a byte stays in one piece, and as it is
+            full = kind != _SPACE
+            starts = np.flatnonzero(full & (cut[:-1] | ~np.concatenate([[False], full[:-1]])))
+            stops = np.flatnonzero(full & (cut[1:] | ~np.concatenate([full[1:], [False]]))) + 1
+            words = np.unique(np.searchsorted(starts, odd, "right") - 1)
+            inside = np.zeros(size + 1, np.int8)
+            inside[starts[words]] += 1
+            inside[stops[words]] -= 1
+            inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+            kind[inside], low[inside] = _WHOLE, data[inside]
+        start = cut[:-1]
+        start[1:] |= kind[1:] != kind[:-1]
+        start |= kind == _DIGIT
+        full = kind != _SPACE
+        start &= full
+        text = low[full]
+        places = np.append(np.flatnonzero(start[full]), len(text))
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(text)]
+        return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, buffers), np.searchsorted(np.flatnonzero(start), ends)
+
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts that end at ``ends``, and of what follows the last of them; ``data`` holds whole words."""
+        found = [self._pieces(data[at:stop], ends[done:following] - at) for at, stop, done, following in _slices(data, ends, _SLICE)]
+        coded = pa.chunked_array([pieces for pieces, _ in found if len(pieces)], pa.large_binary()).dictionary_encode()
+        if not len(coded):
+            return [np.empty(0, "<u4")] * (len(ends) + 1)
+        distinct = coded.chunk(0).dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.known.learn(set(distinct))
+        values = [known[piece] for piece in distinct]
+        pool, sizes = np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts, parts, bounds, ahead = np.cumsum(sizes) - sizes, [], [], 0
+        codes = iter(coded.chunks)
+        for pieces, firsts in found:
+            own = next(codes).indices.to_numpy() if len(pieces) else np.empty(0, np.int32)
+            counts = sizes[own]
+            after = np.append(0, np.cumsum(counts))
+            parts.append(pool[np.repeat(starts[own] - after[:-1], counts) + np.arange(after[-1])])
+            bounds.append(after[firsts] + ahead)
+            ahead += int(after[-1])
+        return np.split(np.concatenate(parts), np.concatenate(bounds))
+
+
+def _slices(data: np.ndarray, ends: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int]]:
+    """Start and stop of slices of about ``size`` bytes that cut no word, and of the ``ends`` within them; at least one."""
+    at = stop = done = 0
+    while True:
+        stop = min(at + size, len(data))
+        after = int(np.searchsorted(ends, stop))
+        limit = int(ends[after]) if after < len(ends) else len(data)
+        space = _SPACES.search(data, stop, limit)
+        stop = space.start() if space else limit
+        following = int(np.searchsorted(ends, stop, "right"))
+        yield at, stop, done, following
+        at, done = stop, following
+        if at == len(data):
+            return
+
+
+def encode_words(path: str, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
+    """Ids of each text and ``end_id``, with one encoder per worker and file.
+
+    Short texts are encoded together and long ones in parts, about ``_BYTES`` at a time.
+    """
+    if not len(texts):
+        return
     encoder = _ENCODERS.get(path) or _ENCODERS.setdefault(path, WordEncoder(path))
-    end = struct.pack("<I", end_id)
-    at = 0
-    while at < len(texts):
-        stop, chars = at, 0
-        while stop < len(texts) and chars < _CHARS:
-            chars += len(texts[stop] or "")
-            stop += 1
-        for ids in encoder.encode(texts[at:stop]):
-            yield np.frombuffer(ids + end, "<u4")
-        at = stop
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    _, places, held = texts.buffers()
+    ends = np.frombuffer(places, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(held or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends[1:] - ends[0]
+    parts = []
+    for at, stop, done, following in _slices(data, ends, _BYTES):
+        *whole, rest = encoder.encode(data[at:stop], ends[done:following] - at)
+        for ids in whole:
+            yield np.concatenate([*parts, ids, [end_id]], dtype="<u4", casting="unsafe")
+            parts = []
+        parts.append(rest)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Both columns of about ``_BYTES`` of batches, the texts as bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append((batch.column(0), batch.column(1).cast(pa.large_binary())))
+        size += batch.nbytes
+        if size >= _BYTES:
+            yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(pa.concat_arrays, zip(*held, strict=True)))
 
 
 def write_token_records(
@@ -194,9 +293,9 @@ def write_token_records(
                 ["id", "part", "shard", "record", "offset", "bytes", "n_tokens"],
             )
 
-        for batch in batches:
-            id_kind = batch.column(0).type
-            for doc, ids in zip(batch.column(0).to_pylist(), encode_words(tokenizer_path, batch.column(1).to_pylist(), end_id), strict=True):
+        for docs, texts in _gathered(batches):
+            id_kind = docs.type
+            for doc, ids in zip(docs.to_pylist(), encode_words(tokenizer_path, texts, end_id), strict=True):
                 record = frame(ids)
                 rows.append((doc, buffer.tell(), len(record), len(ids)))
                 buffer.write(record)

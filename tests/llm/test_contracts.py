@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import public_tokenizers as P
 import pytest
@@ -302,6 +303,41 @@ def test_token_records_sought(spark, awkward, tmp_path, monkeypatch):
             token_records.read_token_records(moved, str(tmp_path / "a")).collect()
 
 
+ODD_WORDS = [
+    "It's", "'S", "''s", "don't'll", "l'été", "'", "a|b", "<|endoftext|>x", "<|ENDOFTEXT|>", "</w>", "ÀÉ×÷ß", "x²½", "ªºµ", "«oui»", "¿qué?",
+    "a\xa0b", "so\xadft", "e\u0301", "\u0301", "İ\u212a", "中文", "😀👍🏽", "Привет", "a\x00", "\x1c", "123", "4५", "_x_", "...--", "ﬁ", "x" * 40,
+]
+
+
+def test_token_ids_of_slices(monkeypatch):
+    """Wherever texts are cut between words, their ids are the library's."""
+    tokenizer = Tokenizer.from_file(queries.WORD_BPE)
+    rng = random.Random(3)
+    joined = [*ODD_WORDS, " ", "\n", "\x0b\t", " , ", "The "]
+    texts = [None, "", *("".join(rng.choices(joined, k=n)) for n in (1, 2, 30, 200, 0, 40)), None, " ".join(ODD_WORDS), ""]
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(["é", *texts]).slice(1)], ["id", "text"])
+    for slice_bytes, held_bytes, together in ((1, 1, 1), (3, 40, 2), (50, 300, 7), (10**6, 10**7, 2_000)):
+        for name, value in (("_SLICE", slice_bytes), ("_BYTES", held_bytes), ("_TOGETHER", together), ("_ENCODERS", {})):
+            monkeypatch.setattr(token_records, name, value)
+        found = [ids.tolist() for _, t in token_records._gathered(iter([batch, batch])) for ids in token_records.encode_words(queries.WORD_BPE, t, 1)]
+        assert found == expected * 2
+
+
+def test_token_pieces_are_encoded_once(monkeypatch):
+    """Distinct words that share their pieces do not cost a step of their own each."""
+    monkeypatch.setattr(token_records, "_ENCODERS", {})
+    texts = [" ".join(f"{a}{x},{b.upper()}{y}" for x in range(10)) for a in LONG.split()[:20] for b in ("aa", "bb", "cc") for y in range(10)]
+    assert len({w for t in texts for w in t.split()}) > 1_000
+    asked = []
+    compute = token_records.WordEncoder._encode_pieces
+    monkeypatch.setattr(token_records.WordEncoder, "_encode_pieces", lambda self, new: asked.extend(new) or compute(self, new))
+    found = [ids.tolist() for ids in token_records.encode_words(queries.WORD_BPE, pa.array(texts), 1)]
+    tokenizer = Tokenizer.from_file(queries.WORD_BPE)
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert len(asked) == len(set(asked)) < 50
+
+
 def test_byte_bpe(spark, sf_dir, docs, awkward):
     with open(queries.BYTE_RANKS, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}

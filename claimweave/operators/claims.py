@@ -182,7 +182,12 @@ def claims_documents(claims: DataFrame, lookup: DataFrame, level: str = "tin", p
     key; by month it falls into one nameless period, which is not.
     """
     keys = _keys(level)
-    parts = _document_parts(_with_providers(claims, lookup, level, period), keys)
+    rows = _with_providers(claims, lookup, level, period)
+    if level == "tin":
+        # A document has about as many parts as reduced rows, so nothing is gained by summing them before the shuffle.
+        # Dealt by document, its rows are summed, and its parts put together, where they lie.
+        rows = rows.repartition(*keys)
+    parts = _document_parts(rows, keys)
     # Documents are full outer joins of the summary and denial halves of the
     # blocks, and null keys find no partner there: each half stays a document of
     # its own. For complete keys the tag is empty and the halves come together.

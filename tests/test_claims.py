@@ -187,3 +187,17 @@ def test_text_tax_ids(spark):
     lookup = spark.createDataFrame(LOOKUP_ROWS, LOOKUP)
     as_text = claims.withColumn("providertin", F.col("providertin").cast("string"))
     assert plain(claims_summary(as_text, lookup, "tin", "year")) == plain(claims_summary(claims, lookup, "tin", "year"))
+
+
+@pytest.mark.parametrize("formatted", ["0-01", None])
+@pytest.mark.parametrize("period", ["year", "month"])
+def test_tax_ids_written_alike_share_a_document(spark, period, formatted):
+    """Tax IDs 1, 2 and 3 of one provider: the same documents as if all their claims had one tax ID."""
+    rows = claim_rows(seed=11)
+    as_one = [(1 if r[0] in (1, 2, 3) else r[0], *r[1:]) for r in rows]
+    entries = [(tin, "North", 10, formatted) for tin in (1, 2, 3)]
+    apart, together = (
+        plain(claims_documents(spark.createDataFrame(c, CLAIMS), spark.createDataFrame(e, LOOKUP), "tin", period))
+        for c, e in ((rows, entries), (as_one, entries[:1]))
+    )
+    assert apart == together and together

@@ -111,3 +111,33 @@ def test_claims_are_reduced_to_the_grain_that_is_asked_for(stored):
     scan = scans(physical(claims_summary(stored.claims, stored.lookup, "tin", "month")), "providertin")[0]
     assert "ClaimDenialCategoryLevel1ShortName" not in scan.split("ReadSchema")[-1]
     assert "Expand" not in physical(claims_documents(stored.claims, stored.lookup, "tin", "month"))
+
+
+def steps_above(plan, column):
+    """The steps between the only scan of ``column`` and the end of the plan."""
+    lines = plan.splitlines()
+    depth = [next((k for k, c in enumerate(line) if c not in " :+-*"), 0) for line in lines]
+    at = next(k for k, line in enumerate(lines) if line in scans(plan, column))
+    found = []
+    for k in range(at - 1, -1, -1):
+        if depth[k] < depth[at]:
+            found.append(lines[k].strip(" :+-*"))
+            at = k
+    return found
+
+
+def test_rows_of_tax_id_documents_are_shuffled_once_after_the_lookup(stored):
+    steps = steps_above(physical(claims_documents(stored.claims, stored.lookup, "tin", "month")), "providertin")
+    join = next(k for k, step in enumerate(steps) if "Join" in step)
+    assert sum(step.startswith("Exchange hashpartitioning") for step in steps[join:]) == 1
+
+
+def test_items_are_shuffled_once_to_become_claims(spark, sf_dir):
+    """Also if neither orders nor customers fit a broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = steps_above(physical(build(spark, sf_dir, "claims")), "l_suppkey")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(step.startswith("Exchange") for step in steps) == 1
